@@ -136,4 +136,5 @@ def signal_text(text: Column, summary: Column, has_parent: Column, limit: int =
 
 
 def duration_label(name: Column, days: Column) -> Column:
-    return F.format_string("%s (moy. %.1fj)", name, days)
+    label = F.format_string("%s (moy. %.1fj)", name, days)
+    return F.when(name.isNotNull() & days.isNotNull(), label)

@@ -143,7 +143,7 @@ def versions(assigned: DataFrame) -> DataFrame:
         F.count_if(F.col("is_resolved") == 1).alias("n_resolved"),
         F.round(F.try_divide(F.sum(F.col("days") * F.col("times")).cast("double"), weight.cast("double")), 1)
         .alias("avg_resolution_days"),
-        F.round(F.percentile("days", 0.5, "times"), 1).alias("median_resolution_days"),
+        F.round(F.percentile("days", 0.5, F.col("times")), 1).alias("median_resolution_days"),
         pct(kind("Bug"), issues).alias("bug_ratio_pct"),
     ).orderBy(*[F.col(c).asc_nulls_last() for c in group])
 

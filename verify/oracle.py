@@ -303,6 +303,12 @@ CTES: dict[str, str] = {
         FROM daily WINDOW w AS (ORDER BY activity_date NULLS LAST ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 }
 
+TEXT = "lower(coalesce(summary, '') || ' ' || coalesce(description, ''))"
+CTES["tickets"] = "SELECT * FROM cleaned WHERE split IN ('train', 'validation')"
+CTES["predicted"] = f"""
+    SELECT *, {rules(TEXT, [(w, t) for w, t, _ in fv.PREDICTION_RULES], fv.PREDICTION_DEFAULT[0])} AS pred_issuetype,
+      {rules(TEXT, [(w, r) for w, _, r in fv.PREDICTION_RULES], fv.PREDICTION_DEFAULT[1])} AS pred_resolution FROM tickets"""
+
 
 def sql(final: str) -> str:
     """The final query behind the CTEs it uses, in the order of definition."""

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.plans import eda, intermediate as mid, marts, staging
+from tickloom.plans import intermediate as mid, marts, staging
 from tickloom.session import configure
 from tickloom.sources import lookups
 from tickloom.sources.parents import load_parent_keys
 from verify import adapter as ad
-from verify.oracle import sql, table as oracle_table
+from verify.oracle import table as oracle_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
