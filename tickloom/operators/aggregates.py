@@ -60,20 +60,24 @@ def with_start(df: DataFrame, key: str, order: list[str], column: str, separator
 def joined_texts(column: str, separator: str, limit: int) -> Column:
     """Aggregate after :func:`with_start`: texts in order, cut to ``limit`` characters.
 
-    Only texts that begin before the limit are collected, at most ``limit``
-    characters plus one text, however large the group.
+    Only texts whose separator begins before the limit are collected: a bounded
+    number of characters, however large the group.
     """
-    visible = F.when(F.col("_start") < limit, F.struct("_start", F.col(column).alias("text")))
+    visible = F.when(F.col("_start") < limit + len(separator), F.struct("_start", F.col(column).alias("text")))
     texts = F.transform(F.array_sort(F.collect_list(visible)), lambda x: x["text"])
     return F.left(F.array_join(texts, separator), F.lit(limit))
 
 
+def visible_rows(separator: str, limit: int, min_length: int = 0) -> int:
+    """How many rows of a group can show, when each takes ``min_length`` and a separator."""
+    return -(-(limit + len(separator)) // (min_length + len(separator)))
+
+
 def concat_in_order(df: DataFrame, key: str, order: list[str], column: str, name: str,
                     separator: str, limit: int, min_length: int = 0) -> DataFrame:
     """Concatenate texts in order, cut to ``limit`` characters.
 
-    Each text takes at least ``min_length`` and a separator, so only the first
-    few of a group can begin before the limit: in hot groups they are picked
+    Only the first few texts of a group can show: in hot groups they are picked
     inside each map task, before the shuffle.
     """
     def build(rows: DataFrame) -> DataFrame:
@@ -85,7 +89,7 @@ def concat_in_order(df: DataFrame, key: str, order: list[str], column: str, name
     cold, hot = separate_hot(rows, [key])
     if hot is None:
         return build(cold)
-    visible = -(-limit // (min_length + len(separator)))
+    visible = visible_rows(separator, limit, min_length)
     return build(cold).unionByName(build(first_n(hot, [key], order, visible)))
 
 

@@ -12,7 +12,7 @@ from tickloom.functions.text import (
     blank_to, clean_text, is_release_candidate, min_len, not_blank, raw_length, upper_is,
     version_major, version_minor,
 )
-from tickloom.operators.aggregates import first_by, joined_texts, was_escalated, with_start
+from tickloom.operators.aggregates import first_by, joined_texts, visible_rows, was_escalated, with_start
 from tickloom.operators.filters import filter_ci
 from tickloom.operators.joins import full_align, keep_known, map_label, wide_join
 from tickloom.operators.skew import separate_hot
@@ -92,7 +92,7 @@ def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFra
     result = started(clean_comments(cold)).groupBy("key").agg(text, *counts)
     if hot is not None:
         cleaned = clean_comments(hot)
-        visible = -(-fv.COMMENT_LIMIT // (fv.MIN_COMMENT_LENGTH + len(fv.COMMENT_SEPARATOR)))
+        visible = visible_rows(fv.COMMENT_SEPARATOR, fv.COMMENT_LIMIT, fv.MIN_COMMENT_LENGTH)
         texts = started(first_n(cleaned, ["key"], order, visible)).groupBy("key").agg(text)
         result = result.unionByName(texts.join(cleaned.groupBy("key").agg(*counts), "key"))
     return result if known is None else keep_known(result, known)

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # partitioning: one more shuffle is cheaper than one task with a third of
     # the rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Cut groups to their first rows before the shuffle for up to this many rows.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "4000",
 }
 
 
