@@ -74,12 +74,13 @@ def select_contract(df: DataFrame, contract: dict[str, str]) -> DataFrame:
 
 
 def land(df: DataFrame, contract: dict[str, str], tokens: list[str] = fv.NULL_TOKENS) -> DataFrame:
-    """Raw table: contract columns, null tokens removed.
+    """Raw table: contract columns, null tokens removed."""
+    return with_field_norm(null_tokens(select_contract(df, contract), tokens))
 
-    Changes get their field name in upper case too, a column filters can push
-    down to the files.
-    """
-    raw = null_tokens(select_contract(df, contract), tokens)
+
+def with_field_norm(raw: DataFrame) -> DataFrame:
+    """Give changes their field name in upper case too: a filter on that column
+    reaches the files, one on ``upper(field)`` does not."""
     return raw.withColumn("field_norm", F.upper("field")) if "field" in raw.columns else raw
 
 

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.plans import intermediate as mid, marts, staging
-from tickloom.session import configure
+from tickloom.session import checkpoint_dir, configure
 from tickloom.sources import lookups
+from tickloom.sources.delimited import with_field_norm
 from tickloom.sources.parents import load_parent_keys
+from tickloom.sources.tables import write_table
 from verify import adapter as ad
 from verify.oracle import table as oracle_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class Models:
@@ -27,11 +31,19 @@ class Models:
     def table(self, name: str) -> DataFrame:
         return ad.table(self.spark, self.sf_dir, name)
 
-    def raw_issues(self): return ad.raw_issues(self.spark, self.sf_dir)
-    def raw_comments(self): return ad.raw_comments(self.spark, self.sf_dir)
-    def raw_changelog(self): return ad.raw_changelog(self.spark, self.sf_dir)
-    def raw_issuelinks(self): return ad.raw_issuelinks(self.spark, self.sf_dir)
-    def raw_parents(self): return ad.raw_parent_keys(self.spark, self.sf_dir)
+    def raw_issues(self): return self.landed("issues", ad.raw_issues)
+    def raw_comments(self): return self.landed("comments", ad.raw_comments)
+    def raw_changelog(self): return self.landed("changelog", ad.raw_changelog)
+    def raw_issuelinks(self): return self.landed("issuelinks", ad.raw_issuelinks)
+    def raw_parents(self): return self.landed("parents", ad.raw_parent_keys)
+
+    def landed(self, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+        """The raw table as the load leaves it: whole, written once per session."""
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if place not in LANDED:
+            path = f"{checkpoint_dir(self.spark)}/landed/{uuid.uuid4().hex}/{name}"
+            LANDED[place] = write_table(with_field_norm(build(self.spark, self.sf_dir)), path)
+        return LANDED[place]
     def types(self): return lookups.issuetype_map(self.spark)
     def resolutions(self): return lookups.resolution_map(self.spark)
 
