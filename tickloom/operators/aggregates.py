@@ -60,10 +60,11 @@ def with_start(df: DataFrame, key: str, order: list[str], column: str, separator
 def joined_texts(column: str, separator: str, limit: int) -> Column:
     """Aggregate after :func:`with_start`: texts in order, cut to ``limit`` characters.
 
-    Only texts whose separator begins before the limit are collected: a bounded
-    number of characters, however large the group.
+    NULLs do not count.  Only texts whose separator begins before the limit are
+    collected: a bounded number of characters, however large the group.
     """
-    visible = F.when(F.col("_start") < limit + len(separator), F.struct("_start", F.col(column).alias("text")))
+    shows = F.col(column).isNotNull() & (F.col("_start") < limit + len(separator))
+    visible = F.when(shows, F.struct("_start", F.col(column).alias("text")))
     texts = F.transform(F.array_sort(F.collect_list(visible)), lambda x: x["text"])
     return F.left(F.array_join(texts, separator), F.lit(limit))
 

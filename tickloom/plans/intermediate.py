@@ -63,9 +63,14 @@ def issues_analytics(issues: DataFrame, types: DataFrame, resolutions: DataFrame
 
 
 def clean_comments(comments: DataFrame) -> DataFrame:
-    """Comments with cleaned bodies, short ones dropped."""
+    """Comments with cleaned bodies; a short one becomes NULL.
+
+    The rows stay.  A filter on the cleaned text would be pushed below the
+    restriction to kept issues and clean every text twice.
+    """
     cleaned = comments.withColumn("comment_body", clean_text(F.col("comment_body")))
-    return cleaned.filter(min_len(F.col("comment_body"), fv.MIN_COMMENT_LENGTH))
+    long_enough = min_len(F.col("comment_body"), fv.MIN_COMMENT_LENGTH)
+    return cleaned.withColumn("comment_body", F.when(long_enough, F.col("comment_body")))
 
 
 def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -78,11 +83,12 @@ def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFra
     """
     order = ["comment_created", "comment_id", "comment_body"]
     text = joined_texts("comment_body", fv.COMMENT_SEPARATOR, fv.COMMENT_LIMIT).alias("all_comments")
+    kept = lambda name: F.when(F.col("comment_body").isNotNull(), F.col(name))
     counts = [
-        F.count("*").alias("n_comments"),
-        F.count_distinct("comment_author").alias("n_commenters"),
-        F.min("comment_created").alias("first_comment_at"),
-        F.max("comment_created").alias("last_comment_at"),
+        F.count("comment_body").alias("n_comments"),
+        F.count_distinct(kept("comment_author")).alias("n_commenters"),
+        F.min(kept("comment_created")).alias("first_comment_at"),
+        F.max(kept("comment_created")).alias("last_comment_at"),
     ]
     started = lambda df: with_start(
         df, "key", order, "comment_body", fv.COMMENT_SEPARATOR, fv.COMMENT_LIMIT
@@ -93,8 +99,10 @@ def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFra
     if hot is not None:
         cleaned = clean_comments(hot)
         visible = visible_rows(fv.COMMENT_SEPARATOR, fv.COMMENT_LIMIT, fv.MIN_COMMENT_LENGTH)
-        texts = started(first_n(cleaned, ["key"], order, visible)).groupBy("key").agg(text)
+        texts = started(first_n(cleaned.filter("comment_body IS NOT NULL"), ["key"], order, visible))
+        texts = texts.groupBy("key").agg(text)
         result = result.unionByName(texts.join(cleaned.groupBy("key").agg(*counts), "key"))
+    result = result.filter(F.col("n_comments") > 0)
     return result if known is None else keep_known(result, known)
 
 
