@@ -26,11 +26,11 @@ def kept_keys(raw_issues: DataFrame, project: str) -> DataFrame:
 def stg_issues(raw_issues: DataFrame, project: str) -> DataFrame:
     """M-01: one typed row per issue of the project.
 
-    The copy with the smallest id (as text) wins; the other columns break ties.
+    The copy with the smallest id (as text) wins.  Ties are broken by narrow
+    columns only: a text in the order would be read and shuffled by every job.
     """
     own = raw_issues.filter(F.col("project_key") == project)
-    ties = [c for c in ("created", "summary", "description") if c in raw_issues.columns]
-    first = dedup(own, ["key"], ["id", *ties])
+    first = dedup(own, ["key"], ["id", "created", "resolutiondate", "status_name"])
     return first.select(
         F.col("id").alias("issue_id"),
         "key",

@@ -31,8 +31,8 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 def read_csv_table(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """SRC-01: comma separated, optional quotes, header, all strings, plain or gzip.
 
-    Quoted fields may hold newlines, so a file is read by one task: give a
-    folder of many files.  For few huge files see ``records.read_csv_records``.
+    Quoted fields may hold newlines, so one task reads a file: export a large
+    table as a folder of many files.
     """
     return _reader(spark).schema(strings(names or header_of(spark, path))).csv(path)
 
@@ -48,11 +48,12 @@ def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None
         _reader(spark).schema(strings([*names, BAD]))
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=BAD).csv(path)
     )
-    # Spark refuses to read the rejected text alone: nothing of the first column is added.
-    rejected = F.concat(F.col(BAD), F.left(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), F.lit(0)))
+    # Always true.  Spark refuses a query that reads the rejected text alone, as
+    # a plain count would, so both filters look at the first column too.
+    seen = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
     return (
-        rows.filter(F.col(BAD).isNull()).drop(BAD),
-        rows.filter(F.col(BAD).isNotNull()).select(rejected.alias(BAD)),
+        rows.filter(F.col(BAD).isNull() & seen).drop(BAD),
+        rows.filter(F.col(BAD).isNotNull() & seen).select(BAD),
     )
 
 
