@@ -88,16 +88,19 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: s
         return pd.Series([np.flatnonzero(r).astype("int32") for r in visit])
 
     block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
-    index_side = rows.select("neighbour", "_w", "label", *theirs.values(), F.col("_p.cell").alias("cell")).select(
-        "*",
-        F.pmod(F.xxhash64("neighbour"), block_of).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
-    )
-    query_side = queries.select(
+    visits = queries.select(
         F.col(key).alias("query"), F.col(vector).alias("_v"), *[F.col(b).alias(b) for b in boosts],
         F.pmod(F.xxhash64(key), F.lit(query_blocks)).cast("int").alias("query_block"),
         F.explode(cells_to_visit(F.col(vector))).alias("cell"),
-    ).select("*", F.explode(F.sequence(F.lit(0), (block_of - 1).cast("int"))).alias("block"))
+    )
+    query_side = visits.select("*", F.explode(F.sequence(F.lit(0), (block_of - 1).cast("int"))).alias("block"))
+    # Index rows go only where a query block visits their cell.
+    visited = visits.select("cell", "query_block").distinct().select(
+        F.col("cell").alias("cell"), F.col("query_block").alias("query_block")
+    )
+    index_side = rows.select("neighbour", "_w", "label", *theirs.values(), F.col("_p.cell").alias("cell")).select(
+        "*", F.pmod(F.xxhash64("neighbour"), block_of).cast("int").alias("block")
+    ).join(visited, "cell")
 
     def best_of_block(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if q.empty or x.empty:

@@ -9,6 +9,8 @@ from tickloom.functions import fixed_values as fv, labels
 from tickloom.ml import embed, evaluate, features, neighbours, rules, train
 from tickloom.operators import filters
 from tickloom.operators.aggregates import first_by
+from tickloom.sources.tables import write_table
+from verify.operator_queries import scratch
 from verify.oracle import TEXT, half_up, q, rules as rules_sql, sql, values
 from verify.queries import Models, register
 
@@ -86,6 +88,15 @@ def _ml06(m: Models) -> DataFrame:
     return model.score(rows, "prediction_label", "confidence").select("vec_id", "label", "prediction_label", "confidence")
 
 
+def _train_and_predict(m: Models) -> DataFrame:
+    mart = m.mart_ml().withColumn("issuetype", labels.merge_rare(c("issuetype"), fv.RARE_ISSUETYPES_5))
+    mart = write_table(mart, scratch(m, "mart"))
+    by_type = write_table(embed.embed_tfidf(mart, "text_for_it", dim=128), scratch(m, "type_vectors"))
+    by_resolution = write_table(embed.embed_tfidf(mart, "text_for_res", dim=128), scratch(m, "resolution_vectors"))
+    return train.train_and_predict(mart, by_type, by_resolution, max_iter=100)
+
+
+register("ml06_train_and_predict", _train_and_predict)
 register("ml05_fit_lr", _ml05)
 register("ml06_score", _ml06)
 register("ml07_evaluate", lambda m: evaluate.evaluate(predicted(m), "issuetype", "pred_issuetype"), sql(
