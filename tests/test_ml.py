@@ -35,6 +35,13 @@ def test_oversample(spark):
     assert sorted(rows(got)) == sorted(rows(features.oversample(df, "l")))
 
 
+def test_repeat_in_steps(spark):
+    df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 6)], "key string, n long")
+    got = features._repeat(df, "key", "n", step=3)
+    assert sorted(rows(got.select("key", "copy"))) == [
+        (k, i) for k, n in (("a", 7), ("b", 1), ("c", 6)) for i in range(1, n + 1)]
+
+
 def test_evaluation(spark):
     pairs = [("a", "a")] * 3 + [("a", "b")] + [("b", "a")] * 2 + [("c", "a")] + [("a", "d")]
     df = spark.createDataFrame(pairs, "t string, p string")

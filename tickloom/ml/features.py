@@ -82,7 +82,7 @@ def oversample(df: DataFrame, label: str, key: str = "key", seed: int = 42) -> D
     hashed = hashed.withColumn("_range", F.left("_hash", F.lit(3)))
     hashed = hashed.join(checked_broadcast(targets), F.col(label).eqNullSafe(F.col("_label"))).drop("_label")
 
-    keep = hashed.filter("target = n").withColumn("copies", F.lit(1).cast("bigint"))
+    keep = hashed.filter("target = n").select(*df.columns, F.lit(1).cast("bigint").alias("copy"))
     grow = hashed.filter("target > n")
     before = Window.partitionBy("_l").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
@@ -94,9 +94,20 @@ def oversample(df: DataFrame, label: str, key: str = "key", seed: int = 42) -> D
         checked_broadcast(sizes), F.col(label).eqNullSafe(F.col("_l")) & (F.col("_range") == F.col("_r"))
     )
     extra = F.when(F.col("_rank") + F.col("_offset") <= F.col("target") % F.col("n"), 1).otherwise(0)
-    ranked = ranked.withColumn("copies", F.expr("target div n") + extra)
-    both = keep.unionByName(ranked.select(*keep.columns))
-    return both.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"))
+    ranked = ranked.withColumn("_copies", F.expr("target div n") + extra)
+    return keep.unionByName(_repeat(ranked, key, "_copies").select(*df.columns, "copy"))
+
+
+def _repeat(df: DataFrame, key: str, copies: str, step: int = 10_000) -> DataFrame:
+    """Each row ``copies`` times, numbered from 1.
+
+    In two steps with a shuffle between: no array is long, and no task writes
+    all copies of a rare row.
+    """
+    one = F.lit(1).cast("bigint")
+    starts = df.withColumn("_from", F.explode(F.sequence(one, F.col(copies), F.lit(step).cast("bigint"))))
+    last = F.least(F.col("_from") + (step - 1), F.col(copies))
+    return starts.repartition(key, "_from").withColumn("copy", F.explode(F.sequence("_from", last)))
 
 
 def request_features(df: DataFrame, names: list[str], embedding_dim: int) -> DataFrame:

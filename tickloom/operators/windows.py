@@ -64,7 +64,7 @@ def number_in_order(df: DataFrame, keys: list[str], order: list[str], name: str)
     """Add the row number within the group; hot groups are numbered by ranges."""
     cold, hot = separate_hot(df, keys)
     w = Window.partitionBy(*keys).orderBy(*ascending(order))
-    result = cold.withColumn(name, F.row_number().over(w))
+    result = cold.withColumn(name, F.row_number().over(w).cast("bigint"))
     if hot is None:
         return result
 
@@ -79,7 +79,7 @@ def number_in_order(df: DataFrame, keys: list[str], order: list[str], name: str)
     joined = numbered.join(offsets, same_keys(numbered, offsets, [*keys, PART]), "left")
     picked = joined.select(
         *[numbered[c] for c in df.columns],
-        (numbered["_rn"] + offsets["_offset"]).cast("int").alias(name),
+        (numbered["_rn"] + offsets["_offset"]).alias(name),
     )
     return result.unionByName(picked)
 

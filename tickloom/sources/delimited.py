@@ -17,9 +17,9 @@ def strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _reader(spark: SparkSession):
+def _reader(spark: SparkSession, multi_line: bool):
     return spark.read.options(
-        header=True, sep=",", quote='"', escape='"', multiLine=True, encoding="UTF-8",
+        header=True, sep=",", quote='"', escape='"', multiLine=multi_line, encoding="UTF-8",
     )
 
 
@@ -28,16 +28,19 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(header=True, quote='"', escape='"').csv(path).columns
 
 
-def read_csv_table(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, names: list[str] | None = None,
+                   multi_line: bool = True) -> DataFrame:
     """SRC-01: comma separated, optional quotes, header, all strings, plain or gzip.
 
     Quoted fields may hold newlines, so one task reads a file: export a large
-    table as a folder of many files.
+    table as a folder of many files.  A table without such newlines can be read
+    with ``multi_line=False``, which splits its files.
     """
-    return _reader(spark).schema(strings(names or header_of(spark, path))).csv(path)
+    return _reader(spark, multi_line).schema(strings(names or header_of(spark, path))).csv(path)
 
 
-def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None,
+                  multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """SRC-04: good rows and rejected rows.
 
     A row with too few or too many fields is rejected as a whole and keeps its
@@ -45,7 +48,7 @@ def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None
     """
     names = names or header_of(spark, path)
     rows = (
-        _reader(spark).schema(strings([*names, BAD]))
+        _reader(spark, multi_line).schema(strings([*names, BAD]))
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=BAD).csv(path)
     )
     # Always true.  Spark refuses a query that reads the rejected text alone, as

@@ -246,7 +246,7 @@ register("win02_sequence", lambda m: windows.number_in_order(
     m.stg_changelog().select("key", "created", "from_string", "to_string", "author"), ["key"],
     ["created", *mid.CHANGE_TIES], "change_order"),
     sql(f"""SELECT key, created, from_string, to_string, author,
-            CAST(row_number() OVER (PARTITION BY key ORDER BY created NULLS LAST, {TIES}) AS INTEGER) AS change_order FROM stg_changelog"""))
+            row_number() OVER (PARTITION BY key ORDER BY created NULLS LAST, {TIES}) AS change_order FROM stg_changelog"""))
 register("win03_was_escalated", lambda m: m.stg_changelog().select("key").distinct().join(
     mid.escalation(m.stg_changelog()), "key", "left").withColumn("was_escalated", numbers.zero_if_null(c("was_escalated"))),
     sql("""SELECT key, coalesce(was_escalated, 0) AS was_escalated FROM (SELECT DISTINCT key FROM stg_changelog)
