@@ -31,8 +31,12 @@ def keep_new(df: DataFrame, done: DataFrame, key: str = "key") -> DataFrame:
 
 def map_label(df: DataFrame, lookup: DataFrame, raw: str, label: str,
               default: str | None = None) -> DataFrame:
-    """Add ``label`` from a lookup table ``(raw, label)``; unknown gives the default."""
-    small = checked_broadcast(lookup.select(raw, label))
+    """Add ``label`` from a lookup table ``(raw, label)``; unknown gives the default.
+
+    Literal tables and seed files have a size Spark knows: it broadcasts them
+    below its own threshold without a hint.
+    """
+    small = lookup.select(raw, label)
     joined = df.join(small, raw, "left")
     if default is None:
         return joined
