@@ -17,12 +17,17 @@ def class_report(df: DataFrame, true: str, pred: str) -> DataFrame:
 
     A class never predicted, or never true, scores 0.
     """
-    counts = joint_counts(df, true, pred)
-    hit = F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(0)
     zero = F.lit(0).cast("bigint")
-    sides = counts.select(F.col("true").alias("label"), F.col("n").alias("support"), hit.alias("hits"), zero.alias("predicted"))
-    sides = sides.unionByName(counts.select(F.col("pred").alias("label"), zero.alias("support"), zero.alias("hits"), F.col("n").alias("predicted")))
-    per_class = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "hits", "predicted")])
+    hit = F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(zero)
+
+    def side(label: str, support: Column, hits: Column, predicted: Column) -> Column:
+        return F.struct(F.col(label).alias("label"), support.alias("support"), hits.alias("hits"),
+                        predicted.alias("predicted"))
+
+    sides = F.array(side("true", F.col("n"), hit, zero), side("pred", zero, zero, F.col("n")))
+    per_class = joint_counts(df, true, pred).select(F.inline(sides)).groupBy("label").agg(
+        *[F.sum(c).alias(c) for c in ("support", "hits", "predicted")]
+    )
     ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
     hits, support, predicted = F.col("hits"), F.col("support"), F.col("predicted")
     return per_class.select(
@@ -34,20 +39,26 @@ def class_report(df: DataFrame, true: str, pred: str) -> DataFrame:
     )
 
 
-def report_averages(report: DataFrame) -> DataFrame:
-    """Macro and support-weighted averages of a class report."""
-    def row(name: str, average) -> list[Column]:
-        return [F.lit(name).alias("label"), *[average(c).alias(c) for c in ("precision", "recall", "f1")],
-                F.sum("support").alias("support")]
-
-    weighted = lambda c: F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support"))
-    return report.agg(*row("macro avg", F.avg)).unionByName(report.agg(*row("weighted avg", weighted)))
-
-
 def full_report(df: DataFrame, true: str, pred: str, digits: int = 6) -> DataFrame:
-    report = class_report(df, true, pred)
-    rows = report.unionByName(report_averages(report))
-    return rows.withColumns({c: F.round(c, digits) for c in ("precision", "recall", "f1")})
+    """Class report with macro and support-weighted averages, in one pass.
+
+    Each class counts for its own row and, with its weight, for both averages.
+    """
+    def row(place: int, name: Column, weight: Column) -> Column:
+        return F.struct(F.lit(place).alias("place"), name.alias("name"), weight.alias("weight"))
+
+    one = F.lit(1).cast("bigint")
+    rows = F.array(
+        row(0, F.col("label"), one),
+        row(1, F.lit("macro avg"), one),
+        row(2, F.lit("weighted avg"), F.col("support")),
+    )
+    spread = class_report(df, true, pred).select("precision", "recall", "f1", "support", F.inline(rows))
+    average = lambda c: F.try_divide(F.sum(F.col(c) * F.col("weight")), F.sum("weight"))
+    return spread.groupBy("place", F.col("name").alias("label")).agg(
+        *[F.round(average(c), digits).alias(c) for c in ("precision", "recall", "f1")],
+        F.sum("support").alias("support"),
+    ).orderBy("place", "label").drop("place")
 
 
 def evaluate(df: DataFrame, true: str, pred: str, digits: int = 4) -> DataFrame:

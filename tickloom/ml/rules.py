@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import fixed_values as fv
 from tickloom.functions.text import first_match
+from tickloom.operators.joins import checked_broadcast
 from tickloom.operators.windows import first_n
 from tickloom.sources.lookups import literal_table
 
@@ -88,11 +89,32 @@ def fallback_refs(types: DataFrame, k: int = 3) -> DataFrame:
 
 
 def references(types: DataFrame, mart: DataFrame, k: int = 3) -> DataFrame:
-    """Past tickets per type, stock references where the mart has none."""
-    wanted = types.select("issuetype").distinct()
+    """Past tickets per type, stock references where the mart has none.
+
+    The few wanted types are broadcast after a count: a join that shuffled by
+    type would put a whole class into one task.
+    """
+    wanted = checked_broadcast(types.select("issuetype").distinct())
     past = first_n(
         mart.join(wanted, "issuetype", "left_semi").select("key", "summary_clean", "issuetype", "resolution"),
         ["issuetype"], ["key"], k,
     ).withColumns({"similarity": F.lit(0.0), "source": F.lit("mart")})
-    missing = wanted.join(mart.select("issuetype"), "issuetype", "left_anti")
+    missing = wanted.join(mart.select("issuetype").distinct(), "issuetype", "left_anti")
     return past.unionByName(fallback_refs(missing, k))
+
+
+def advise(requests: DataFrame, mart: DataFrame, k: int = 3) -> DataFrame:
+    """Rule prediction, recommendation and reference keys for a table of new tickets.
+
+    ``requests`` has ``key``, ``summary``, ``description`` and ``priority``.
+    """
+    predicted = rule_predict(requests, "summary", "description")
+    advised = recommend(predicted, "summary", "description", "priority", "pred_issuetype", "pred_resolution")
+    found = references(predicted.select(F.col("pred_issuetype").alias("issuetype")), mart, k)
+    # At most k references per type.
+    per_type = found.groupBy(F.col("issuetype").alias("pred_issuetype")).agg(
+        F.array_join(F.array_sort(F.collect_list("key")), ", ").alias("reference_keys")
+    )
+    return advised.join(checked_broadcast(per_type), "pred_issuetype", "left").select(
+        "key", "pred_issuetype", "pred_resolution", "recommendation", "recommendation_source", "reference_keys"
+    )

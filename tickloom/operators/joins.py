@@ -16,7 +16,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
 
 
 def keep_known(df: DataFrame, known: DataFrame, key: str = "key") -> DataFrame:
-    """Rows whose key is in ``known`` (copies there do no harm).
+    """Rows whose key is in ``known``, a table with one row per key.
 
     No broadcast hint: the set of kept keys grows with the data.  Adaptive
     execution broadcasts it when small and splits hot keys when not.
@@ -26,7 +26,7 @@ def keep_known(df: DataFrame, known: DataFrame, key: str = "key") -> DataFrame:
 
 def keep_new(df: DataFrame, done: DataFrame, key: str = "key") -> DataFrame:
     """Rows whose key is not in ``done`` (resume)."""
-    return df.join(done.select(key), key, "left_anti")
+    return df.join(done.select(key).distinct(), key, "left_anti")
 
 
 def map_label(df: DataFrame, lookup: DataFrame, raw: str, label: str,

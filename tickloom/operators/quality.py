@@ -42,10 +42,10 @@ def check_accepted(df: DataFrame, column: str, values: list) -> DataFrame:
 def check_fk(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent, with their frequency.
 
-    Children are combined per value first: a hot value joins as one row.
+    Both sides are combined per value first: a hot value joins as one row.
     """
     values = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(parent_column).alias("_parent"))
+    known = parent.select(F.col(parent_column).alias("_parent")).distinct()
     return values.join(known, F.col(column) == F.col("_parent"), "left_anti")
 
 

@@ -202,6 +202,19 @@ register("ml14_references", lambda m: rules.references(
           (SELECT issuetype FROM tickets WHERE split = 'validation' AND issuetype <> 'Task'))''')})"""))
 
 
+def _past(m: Models) -> DataFrame:
+    return filters.in_splits(m.cleaned(), ["validation"]).withColumnRenamed("summary", "summary_clean")
+
+
+register("ml13_advise", lambda m: rules.advise(tickets(m), _past(m)), _with_lib(f"""
+    SELECT key, pred_issuetype, pred_resolution, {_recommendation()} AS recommendation,
+      {q(fv.RECOMMENDATION_SOURCE)} AS recommendation_source, reference_keys
+    FROM predicted JOIN (SELECT issuetype AS pred_issuetype, string_agg(key, ', ' ORDER BY key) AS reference_keys FROM (
+        SELECT issuetype, key FROM tickets WHERE split = 'validation' QUALIFY row_number() OVER (PARTITION BY issuetype ORDER BY key) <= 3
+        UNION ALL SELECT issuetype, key FROM ({FALLBACK.format('(SELECT pred_issuetype AS issuetype FROM predicted)')})
+          WHERE issuetype NOT IN (SELECT issuetype FROM tickets WHERE split = 'validation')) GROUP BY 1) USING (pred_issuetype)"""))
+
+
 def _described(m: Models) -> DataFrame:
     """Embeddings with the order of the same id as metadata."""
     orders = m.table("orders").select(
