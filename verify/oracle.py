@@ -174,14 +174,11 @@ CTES: dict[str, str] = {
           count(*) AS n_comments, count(DISTINCT comment_author) AS n_commenters,
           min(comment_created) AS first_comment_at, max(comment_created) AS last_comment_at
         FROM clean_comments GROUP BY key""",
-    "ranked": f"""
-        SELECT key, created, CASE upper(to_string) WHEN 'TRIVIAL' THEN 1 WHEN 'MINOR' THEN 2 WHEN 'MAJOR' THEN 3
-            WHEN 'CRITICAL' THEN 4 WHEN 'BLOCKER' THEN 5 END AS rank,
-          row_number() OVER (PARTITION BY key ORDER BY created NULLS LAST, {TIES}) AS change_order
-        FROM stg_changelog WHERE upper(field) = 'PRIORITY'""",
-    "escalation": """
-        SELECT a.key, max(CASE WHEN b.rank > a.rank THEN 1 ELSE 0 END) AS was_escalated
-        FROM ranked a JOIN ranked b ON a.key = b.key AND b.change_order = a.change_order + 1 GROUP BY a.key""",
+    "escalation": f"""
+        SELECT key, (len(list_filter(range(1, len(ranks)), lambda i: ranks[i + 1] > ranks[i])) > 0)::INTEGER AS was_escalated FROM (
+          SELECT key, list(nullif(list_position(['TRIVIAL', 'MINOR', 'MAJOR', 'CRITICAL', 'BLOCKER'], upper(to_string)), 0)
+                      ORDER BY created NULLS LAST, {TIES}) AS ranks
+          FROM stg_changelog WHERE upper(field) = 'PRIORITY' GROUP BY key)""",
     "first_assignee": f"""
         SELECT key, to_string AS first_assignee FROM stg_changelog WHERE upper(field) = 'ASSIGNEE' AND to_string IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY key ORDER BY created NULLS LAST, to_string) = 1""",
@@ -202,8 +199,8 @@ CTES: dict[str, str] = {
           count(*) FILTER (upper(type_name) = 'CONTAINER') AS n_container FROM stg_issuelinks GROUP BY key""",
     "transitions": f"""
         SELECT key, from_status, to_string AS to_status, created AS transition_at,
-          CASE WHEN prev IS NOT NULL AND created IS NOT NULL THEN greatest({hours('prev', 'created')}, 0) END AS hours_in_from_status,
-          CASE WHEN upper(to_string) = 'REOPENED' AND upper(from_status) IN ('RESOLVED', 'CLOSED') THEN 1 ELSE 0 END AS is_reopen_event
+          CASE WHEN {hours('prev', 'created')} < 0 THEN 0 ELSE {hours('prev', 'created')} END AS hours_in_from_status,
+          (upper(to_string) = 'REOPENED' AND upper(from_status) IN ('RESOLVED', 'CLOSED'))::INTEGER AS is_reopen_event
         FROM (SELECT *, coalesce(nullif(trim(from_string, ' '), ''), 'Open') AS from_status,
                 lag(created) OVER (PARTITION BY key ORDER BY created NULLS LAST, {TIES}) AS prev
               FROM stg_changelog WHERE upper(field) = 'STATUS' AND to_string IS NOT NULL)""",
@@ -232,17 +229,16 @@ CTES: dict[str, str] = {
     "mart_ml": f"""
         SELECT key, created_at, split, issuetype, resolution, summary AS summary_clean, description AS description_clean,
           coalesce(all_comments, '') AS comments_concat,
-          left(CASE WHEN length(description) = 0 THEN '[NO-DESCRIPTION] ' ELSE '' END
-            || CASE WHEN length(description) BETWEEN 1 AND 79 THEN '[SHORT-DESC] ' ELSE '' END
-            || CASE WHEN coalesce(n_comments, 0) = 0 THEN '[NO-COMMENTS] ' ELSE '' END
-            || CASE WHEN coalesce(n_container, 0) > 0 THEN '[CONTAINER-LINK] ' ELSE '' END
-            || 'TICKET: ' || summary || chr(10) || 'PRI: ' || coalesce(priority, '') || chr(10) || 'DESC: '
-            || CASE WHEN length(description) < 50 THEN description || ' ' || left(coalesce(all_comments, ''), 600)
-                    ELSE description END, 2000) AS text_for_it,
-          left('TICKET: ' || summary || chr(10) || 'TYPE: ' || issuetype || ' | PRI: ' || coalesce(priority, '') || chr(10)
-            || 'DESC: ' || left(description, 800) || chr(10) || 'COMMENTS: ' || left(coalesce(all_comments, ''), 400), 2000) AS text_for_res,
-          left('TICKET: ' || summary || chr(10) || 'TYPE: ' || issuetype || ' | PRI: ' || coalesce(priority, '') || chr(10)
-            || 'DESC: ' || left(description, 800), 2000) AS text_noco,
+          left(repeat('[NO-DESCRIPTION] ', (length(description) = 0)::INTEGER)
+            || repeat('[SHORT-DESC] ', (length(description) > 0 AND length(description) < 80)::INTEGER)
+            || repeat('[NO-COMMENTS] ', (n_comments IS NULL)::INTEGER)
+            || repeat('[CONTAINER-LINK] ', (n_container IS NOT NULL AND n_container > 0)::INTEGER)
+            || printf('TICKET: %s%sPRI: %s%sDESC: ', summary, chr(10), priority, chr(10)) || description
+            || repeat(' ' || left(coalesce(all_comments, ''), 600), (length(description) < 50)::INTEGER), 2000) AS text_for_it,
+          left(printf('TICKET: %s%sTYPE: %s | PRI: %s%sDESC: %s%sCOMMENTS: %s', summary, chr(10), issuetype, priority, chr(10),
+            left(description, 800), chr(10), left(coalesce(all_comments, ''), 400)), 2000) AS text_for_res,
+          left(printf('TICKET: %s%sTYPE: %s | PRI: %s%sDESC: %s', summary, chr(10), issuetype, priority, chr(10),
+            left(description, 800)), 2000) AS text_noco,
           priority, status, reporter, assignee,
           {zero('n_total_changes', 'n_status_changes', 'n_priority_changes', 'n_assignee_changes', 'n_resolution_changes',
                 'was_escalated', 'n_people_involved')}, first_assignee,
