@@ -35,6 +35,16 @@ def test_comments_are_cleaned_once(models):
     assert text.count("regexp_replace") == 6 and text.count("Exchange hashpartitioning") == 2
 
 
+def test_minimum_length_computes_the_text_once(models):
+    from pyspark.sql import functions as F
+
+    from tickloom.functions.text import clean_text
+    from tickloom.operators.filters import with_min_length
+
+    docs = with_min_length(models.table("documents"), "clean", clean_text(F.col("text")), 10)
+    assert plan(docs).count("regexp_replace") == 6
+
+
 def test_no_cartesian_product_anywhere(models):
     for name in ("mart_ml", "ops", "versions", "calendar", "workload", "daily"):
         text = plan(getattr(models, name)())

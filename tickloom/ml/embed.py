@@ -45,7 +45,7 @@ def embed_tfidf(df: DataFrame, text: str, key: str = "key", dim: int = 1024) ->
     """Default without a model: hashed word counts, inverse frequency, unit length."""
     words = df.select(key, F.coalesce(text, F.lit("")).alias("_text"))
     stages = [
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+"),
+        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+"),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),
         IDF(inputCol="_counts", outputCol="_weighted"),
         Normalizer(inputCol="_weighted", outputCol="_unit"),

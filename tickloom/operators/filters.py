@@ -18,6 +18,16 @@ def filter_ci(df: DataFrame, column: str, values: list[str], normalised: str | N
     return df.filter(F.upper(column).isin(wanted))
 
 
+def with_min_length(df: DataFrame, name: str, value: Column, n: int) -> DataFrame:
+    """Add a computed text and keep the rows where it has at least ``n`` characters.
+
+    Works as a list of one or no element: Spark would push a filter below the
+    computation and compute a costly text twice.
+    """
+    long_enough = F.filter(F.array(F.coalesce(value, F.lit(""))), lambda x: F.length(x) >= n)
+    return df.withColumn(name, F.explode(long_enough))
+
+
 def in_years(ts: Column, first: int, last: int) -> Column:
     return F.year(ts).between(first, last)
 

@@ -21,8 +21,11 @@ def materialize(df: DataFrame, layer: str, name: str, base: str) -> DataFrame:
     return write_table(df, f"{base}/{layer}/{name}")
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str, sort_by: str | None = None) -> DataFrame:
+    """Replace a table.  ``sort_by`` orders each file, without a shuffle, so that a
+    filter on that column skips most row groups."""
+    rows = df.sortWithinPartitions(sort_by) if sort_by else df
+    rows.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -135,8 +135,8 @@ register("flt02_filter_ci", lambda m: filters.filter_ci(m.raw_changelog(), "fiel
          sql(f"SELECT key, field, to_string AS tostring FROM raw_changelog WHERE upper(field) IN {in_list(fv.CHANGELOG_FIELDS)}"))
 register("flt03_not_blank", lambda m: m.raw_issues().filter(text.not_blank(c("priority_name"))).select("id", "key", "priority_name"),
          sql("SELECT id, key, priority AS priority_name FROM raw_issues WHERE priority IS NOT NULL AND trim(priority, ' ') <> ''"))
-register("flt04_min_len", lambda m: m.table("documents").withColumn("clean", text.clean_text(c("text")))
-         .filter(text.min_len(c("clean"), fv.MIN_COMMENT_LENGTH)).select("doc_id", "clean"),
+register("flt04_min_len", lambda m: filters.with_min_length(
+    m.table("documents"), "clean", text.clean_text(c("text")), fv.MIN_COMMENT_LENGTH).select("doc_id", "clean"),
          f"SELECT * FROM (SELECT doc_id, {clean('text')} AS clean FROM documents) WHERE length(clean) >= 10")
 register("flt05_not_null", lambda m: m.analytics().filter(c("resolved_at").isNotNull()).select("key", "resolved_at"),
          sql("SELECT key, resolved_at FROM analytics WHERE resolved_at IS NOT NULL"))

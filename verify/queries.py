@@ -19,6 +19,8 @@ from verify.oracle import table as oracle_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+# The column the jobs filter each raw table on.
+FILTERED = {"issues": "project_key", "changelog": "field_norm"}
 LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -42,7 +44,8 @@ class Models:
         place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if place not in LANDED:
             path = f"{checkpoint_dir(self.spark)}/landed/{uuid.uuid4().hex}/{name}"
-            LANDED[place] = write_table(with_field_norm(build(self.spark, self.sf_dir)), path)
+            raw = with_field_norm(build(self.spark, self.sf_dir))
+            LANDED[place] = write_table(raw, path, sort_by=FILTERED.get(name))
         return LANDED[place]
     def types(self): return lookups.issuetype_map(self.spark)
     def resolutions(self): return lookups.resolution_map(self.spark)
