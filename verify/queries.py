@@ -19,8 +19,8 @@ from verify.oracle import table as oracle_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-# The column the jobs filter each raw table on.
-FILTERED = {"issues": "project_key", "changelog": "field_norm"}
+# The column all jobs filter the raw changes on.
+FILTERED = {"changelog": "field_norm"}
 LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
