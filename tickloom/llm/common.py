@@ -146,7 +146,3 @@ def with_text(df: DataFrame, new: Column, drop: str) -> DataFrame:
 def blocks_for(total: int, most: int) -> int:
     return max(1, math.ceil(total / most))
 
-
-def crc_part(key: Column, parts: int) -> Column:
-    """crc32 of the key as text, modulo parts; a NULL key counts as empty text."""
-    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontaminate, quality_rules, secrets
+from tickloom.llm import chat, decontaminate, personal, quality_classifier, quality_rules, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda s, d: quality_rules.report(table(s, d, "documents")),
+    "op2_quality_classifier": lambda s, d: quality_classifier.report(table(s, d, "documents"), table(s, d, "labels")),
+    "op5_personal_data": lambda s, d: personal.report(table(s, d, "documents")),
+    "op6_chat_formatting": lambda s, d: chat.report(chat.with_marks(table(s, d, "conversations"))),
     "op7_decontamination": lambda s, d: decontaminate.report(table(s, d, "documents"), table(s, d, "benchmark")),
+    "op9_toxicity": lambda s, d: toxicity.report(table(s, d, "documents"), table(s, d, "labels")),
     "op10_secret_scan": lambda s, d: secrets.report(table(s, d, "documents")),
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_chat_formatting": chat.ORACLE,
+}
