@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import chat, decontaminate, personal, quality_classifier, quality_rules, secrets, toxicity
+from tickloom.llm import chat, decontaminate, minhash, personal, pieces, quality_classifier, quality_rules, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": lambda s, d: quality_rules.report(table(s, d, "documents")),
     "op2_quality_classifier": lambda s, d: quality_classifier.report(table(s, d, "documents"), table(s, d, "labels")),
+    "op3_minhash_near_dedup": lambda s, d: minhash.grouped(table(s, d, "documents")),
+    "op4_sentencepiece": lambda s, d: pieces.report(table(s, d, "documents")),
     "op5_personal_data": lambda s, d: personal.report(table(s, d, "documents")),
     "op6_chat_formatting": lambda s, d: chat.report(chat.with_marks(table(s, d, "conversations"))),
     "op7_decontamination": lambda s, d: decontaminate.report(table(s, d, "documents"), table(s, d, "benchmark")),
