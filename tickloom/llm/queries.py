@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import chat, decontaminate, minhash, personal, pieces, quality_classifier, quality_rules, secrets, toxicity
+from tickloom.llm import chat, decontaminate, language_model, minhash, personal, pieces, quality_classifier, quality_rules, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_personal_data": lambda s, d: personal.report(table(s, d, "documents")),
     "op6_chat_formatting": lambda s, d: chat.report(chat.with_marks(table(s, d, "conversations"))),
     "op7_decontamination": lambda s, d: decontaminate.report(table(s, d, "documents"), table(s, d, "benchmark")),
+    "op8_language_model": lambda s, d: language_model.report(table(s, d, "documents")),
     "op9_toxicity": lambda s, d: toxicity.report(table(s, d, "documents"), table(s, d, "labels")),
     "op10_secret_scan": lambda s, d: secrets.report(table(s, d, "documents")),
 }
