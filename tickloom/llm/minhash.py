@@ -186,20 +186,34 @@ def _edges(across: bool):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id and component (smallest id) of every id in edges (a, b): labels move
-    along the edges and jump to the label of their label until nothing changes."""
-    edges = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("component")))
-    while True:
-        near = both.join(labels, F.col("a") == F.col("id")).groupBy(F.col("b").alias("id")).agg(F.min("component").alias("near"))
-        moved = labels.join(near, "id").select("id", F.least("component", "near").alias("component"), F.col("component").alias("old"))
-        up = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
-        new = written(moved.join(up, "component", "left").select(
-            "id", F.least("component", "up").alias("component"), "old"))
-        labels = new.select("id", "component")
-        if new.where(F.col("component") != F.col("old")).isEmpty():
-            return labels
+    """id and component (smallest id) of every id in edges (a, b).
+
+    Each round hangs every id below its smallest neighbour, climbs to the tops
+    of these trees and goes on with the edges between different tops, at most
+    half as many ids; so a hot id costs its edges once.
+    """
+    ends = lambda df: df.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = written(ends(edges))
+    labels = edges.select(F.col("a").alias("id"), F.col("b").alias("component")).limit(0)
+    first = True
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tree = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("top")))
+        while True:
+            higher = tree.select(F.col("id").alias("top"), F.col("top").alias("new"))
+            tree = written(tree.join(higher, "top").select("id", F.col("new").alias("top"), (F.col("new") != F.col("top")).alias("moved")))
+            still = tree.where("moved").isEmpty()
+            tree = tree.drop("moved")
+            if still:
+                break
+        up = tree.select(F.col("id").alias("component"), "top")
+        labels = written(tree.withColumnRenamed("top", "component") if first else labels.join(up, "component", "left").select(
+            "id", F.coalesce("top", "component").alias("component")))
+        first = False
+        edges = written(ends(
+            edges.join(tree.select(F.col("id").alias("a"), F.col("top").alias("x")), "a")
+            .join(tree.select(F.col("id").alias("b"), F.col("top").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    return labels
 
 
 def candidate_groups(classes: DataFrame) -> DataFrame:
@@ -270,7 +284,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     same = full.groupBy("doc_id").agg(F.count_distinct("digest").alias("sets")).where("sets > 1").select("doc_id")
     ties = ties.join(same, F.col("b") == F.col("doc_id"), "left_semi")
     found = components(links.unionByName(ties))
-    own = rows.join(repeated, "digest", "left").withColumn("first", F.coalesce("id", "doc_id")).drop("id")
+    own = rows.join(repeated, "digest", "left").withColumn(
+        "first", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))).drop("id")
     component = F.coalesce("component", "first")
     return own.join(found.withColumnRenamed("id", "first"), "first", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
