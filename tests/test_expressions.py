@@ -83,7 +83,9 @@ def test_signal_text(spark):
     ("2014-03-01T12:34:56.000+0000", datetime(2014, 3, 1, 12, 34, 56)),
     ("2014-03-01T12:34:56.000+0530", datetime(2014, 3, 1, 7, 4, 56)),
     ("2014-03-01 12:34:56", datetime(2014, 3, 1, 12, 34, 56)),
-    ("12:34", None), ("bad", None), ("", None), (None, None),
+    ("20140301", datetime(2014, 3, 1)), ("1393677296", datetime(2014, 3, 1, 12, 34, 56)), ("1393677296000", datetime(2014, 3, 1, 12, 34, 56)),
+    ("3/1/2014", datetime(2014, 3, 1)), ("03/01/2014 12:34:56", datetime(2014, 3, 1, 12, 34, 56)), ("03/01/2014 12:34", datetime(2014, 3, 1, 12, 34)),
+    ("13/01/2014", None), ("20141301", None), ("12:34", None), ("bad", None), ("", None), (None, None),
 ])
 def test_parse_timestamp(spark, raw, expected):
     got = one(spark, [(raw,)], "t string", dates.parse_timestamp(c("t")).cast("timestamp_ntz"))

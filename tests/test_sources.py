@@ -29,6 +29,27 @@ def test_read_tolerant(spark, tmp_path):
     assert (good.count(), rejected.count()) == (2, 2)
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_every_file_is_read_by_its_own_header(spark, tmp_path, multi_line):
+    write(tmp_path, "key,author\nK1,ann\n", "a.csv")
+    write(tmp_path, "author,extra,key\namy,x,K2\nbad\n", "b.csv")
+    df = delimited.read_csv_table(spark, str(tmp_path), ["key", "author"], multi_line)
+    assert rows(df.filter("key is not null"), "key") == [("K1", "ann"), ("K2", "amy")]
+    good, rejected = delimited.read_tolerant(spark, str(tmp_path), ["key", "author"], multi_line)
+    assert rows(good, "key") == [("K1", "ann"), ("K2", "amy")] and rows(rejected) == [("bad",)]
+    write(tmp_path, "key,writer\nK3,abe\n", "c.csv")
+    with pytest.raises(ValueError, match="missing columns: author"):
+        delimited.read_csv_table(spark, str(tmp_path), ["key", "author"], multi_line)
+
+
+def test_land_raw_writes_good_and_rejected_rows_once(spark, tmp_path):
+    write(tmp_path, "created,key,author,field,fromString,toString\nnan,K1,ann,Status,a,b\nshort\n")
+    good, rejected = delimited.land_raw(spark, str(tmp_path / "in.csv"), fv.CHANGELOG_COLUMNS, str(tmp_path / "raw"), multi_line=True)
+    assert rows(good) == [("K1", "ann", None, "Status", "a", "b", "STATUS")] and rows(rejected) == [("short",)]
+    plan = good.filter("field_norm = 'STATUS'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(field_norm,STATUS)" in plan and "csv" not in plan
+
+
 def test_null_tokens(spark):
     df = spark.createDataFrame([("nan", 1, ""), ("None", 2, "none"), ("ok", 3, None)], "`a.b` string, n int, c string")
     assert rows(delimited.null_tokens(df), "n") == [(None, 1, None), (None, 2, None), ("ok", 3, None)]

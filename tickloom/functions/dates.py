@@ -11,9 +11,21 @@ from tickloom.functions.numbers import cap
 def parse_timestamp(text: Column) -> Column:
     """Tolerant parse: NULL when the text is not a dated timestamp.
 
-    The guard keeps Spark from reading a bare time as "today at that time".
+    Forms: year first with hyphens (ISO, with or without time and zone); eight
+    digits ``yyyyMMdd``; ``M/d/yyyy`` with or without a time; nine or ten digits
+    of seconds and twelve or thirteen of milliseconds since 1970.  A bare time
+    is NULL; Spark alone would read it as today.
     """
-    return F.when(F.trim(text).like("____-%"), F.try_to_timestamp(text))
+    plain = F.trim(text)
+    number = plain.try_cast("bigint")
+    return (
+        F.when(plain.like("____-%"), F.try_to_timestamp(text))
+        .when(plain.rlike("^[0-9]{8}$"), F.try_to_timestamp(plain, F.lit("yyyyMMdd")))
+        .when(plain.rlike("^[0-9]{9,10}$"), F.timestamp_seconds(number))
+        .when(plain.rlike("^[0-9]{12,13}$"), F.timestamp_millis(number))
+        .when(plain.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_timestamp(plain, F.lit("M/d/yyyy")))
+        .when(plain.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} "), F.try_to_timestamp(plain, F.lit("M/d/yyyy H:mm[:ss]")))
+    )
 
 
 def day_diff(start: Column, end: Column) -> Column:

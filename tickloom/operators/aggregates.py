@@ -19,18 +19,27 @@ def mean(value: Column, digits: int = 1, scale: int = 1) -> Column:
     return F.round(F.try_divide(F.sum(value).cast("double"), parts.cast("double")), digits)
 
 
-def median(value: Column, digits: int = 1, scale: int = 1) -> Column:
-    """Rounded exact median.
+def counted(df: DataFrame, keys: list[str], values: list[Column], *more: Column) -> DataFrame:
+    """One row per key and value with the number of rows ``times``: combined
+    before the shuffle, so that what follows sees distinct values only."""
+    return df.groupBy(*keys, *values).agg(F.count("*").alias("times"), *more)
 
-    Spark keeps one count per distinct value; whole days and hours between two
-    dates keep that map small however many rows a group has.
-    """
-    return F.round(F.median(value) / F.lit(float(scale)), digits)
+
+def mean_of_counts(value: Column, digits: int = 1, scale: int = 1) -> Column:
+    """:func:`mean` after :func:`counted`."""
+    parts = F.sum(F.when(value.isNotNull(), F.col("times"))) * F.lit(scale)
+    return F.round(F.try_divide(F.sum(value * F.col("times")).cast("double"), parts.cast("double")), digits)
+
+
+def median(value: Column, digits: int = 1, scale: int = 1) -> Column:
+    """Rounded exact median after :func:`counted`."""
+    return F.round(F.percentile(value, 0.5, F.col("times")) / F.lit(float(scale)), digits)
 
 
-def mode(value: Column) -> Column:
-    """Most frequent value, the smallest one on a tie."""
-    return F.mode(value, True)
+def mode(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Most frequent value per group, the smallest one on a tie; a NULL does not count."""
+    each = counted(df.filter(F.col(value).isNotNull()), keys, [F.col(value)])
+    return each.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("times"), F.col(value))).alias(name))
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str], column: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import fixed_values as fv
 from tickloom.functions.numbers import pct
-from tickloom.operators.aggregates import mean, median
+from tickloom.operators.aggregates import counted, mean_of_counts, median
 from tickloom.operators.filters import in_years
 from tickloom.operators.ordering import order_by_list
 from tickloom.operators.windows import share_of_sum
@@ -49,23 +49,28 @@ def monthly_summary(ops: DataFrame, lengths: DataFrame) -> DataFrame:
 
     Percentages refer to the tickets with a resolution.
     """
-    resolved = F.count("resolution")
     days = F.when(F.col("is_resolved") == 1, F.col("resolution_days"))
-    share = lambda name: pct(F.count_if(F.col("resolution") == name), resolved)
-    return (
-        ops.join(lengths.select("key", "summary_length", "description_length"), "key", "left")
-        .groupBy(F.to_date("created_month").alias("month"), "issuetype")
-        .agg(
-            F.count("*").alias("total_issues"),
-            resolved.alias("total_resolved"),
-            median(days).alias("median_resolution_days"),
-            mean(days).alias("avg_resolution_days"),
-            share("Fixed").alias("pct_fixed"),
-            share("Won't Fix").alias("pct_wontfix"),
-            share("Duplicate").alias("pct_duplicate"),
-            share("Cannot Reproduce").alias("pct_cannot_reproduce"),
-            mean(F.col("summary_length")).alias("avg_summary_length"),
-            mean(F.col("description_length")).alias("avg_description_length"),
-            mean(F.col("n_comments"), 2).alias("avg_n_comments"),
-        )
+    joined = ops.join(lengths.select("key", "summary_length", "description_length"), "key", "left")
+    # Resolutions are few and durations whole days below a limit.
+    sums = {n: [F.sum(n).alias(f"{n}_sum"), F.count(n).alias(f"{n}_n")] for n in ("summary_length", "description_length", "n_comments")}
+    each = counted(
+        joined.withColumn("month", F.to_date("created_month")), ["month", "issuetype"],
+        [F.col("resolution"), days.alias("days")], *[a for pair in sums.values() for a in pair])
+    total = lambda condition: F.sum(F.when(condition, F.col("times")).otherwise(0))
+    resolved = total(F.col("resolution").isNotNull())
+    share = lambda name: pct(total(F.col("resolution") == name), resolved)
+    average = lambda n, digits=1: F.round(
+        F.try_divide(F.sum(f"{n}_sum").cast("double"), F.sum(f"{n}_n").cast("double")), digits)
+    return each.groupBy("month", "issuetype").agg(
+        F.sum("times").alias("total_issues"),
+        resolved.alias("total_resolved"),
+        median(F.col("days")).alias("median_resolution_days"),
+        mean_of_counts(F.col("days")).alias("avg_resolution_days"),
+        share("Fixed").alias("pct_fixed"),
+        share("Won't Fix").alias("pct_wontfix"),
+        share("Duplicate").alias("pct_duplicate"),
+        share("Cannot Reproduce").alias("pct_cannot_reproduce"),
+        average("summary_length").alias("avg_summary_length"),
+        average("description_length").alias("avg_description_length"),
+        average("n_comments", 2).alias("avg_n_comments"),
     )

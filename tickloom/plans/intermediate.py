@@ -14,8 +14,8 @@ from tickloom.functions.text import (
 )
 from tickloom.operators.aggregates import first_by, joined_texts, visible_rows, was_escalated, with_start
 from tickloom.operators.filters import filter_ci
-from tickloom.operators.joins import full_align, keep_known, map_label, wide_join
-from tickloom.operators.skew import separate_hot
+from tickloom.operators.joins import keep_known, map_label, wide_join
+from tickloom.operators.skew import order_value, separate_hot
 from tickloom.operators.windows import first_n, lag_in_order
 
 CHANGE_TIES = ["from_string", "to_string", "author"]
@@ -109,7 +109,8 @@ def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFra
 def changelog_features(changes: DataFrame, cleaned: DataFrame) -> DataFrame:
     """M-08: counts, people, escalation and first assignee per cleaned issue.
 
-    Aggregates first: the semi-join then sees one row per issue.
+    Aggregates first: the semi-join then sees one row per issue.  The changes
+    are read twice, for the aggregate and for the ordered priority changes.
     """
     field = lambda name: F.count_if(upper_is(F.col("field"), name))
     counts = changes.groupBy("key").agg(
@@ -119,15 +120,23 @@ def changelog_features(changes: DataFrame, cleaned: DataFrame) -> DataFrame:
         field("ASSIGNEE").alias("n_assignee_changes"),
         field("RESOLUTION").alias("n_resolution_changes"),
         F.count_distinct("author").alias("n_people_involved"),
+        F.min_by(F.when(_given(), F.col("to_string")), F.when(_given(), order_value(ASSIGNED_ORDER))).alias("first_assignee"),
     )
-    features = wide_join(
-        keep_known(counts, cleaned), [escalation(changes), first_assignee(changes)]
-    )
+    features = wide_join(keep_known(counts, cleaned), [escalation(changes)])
     return features.select(
-        *counts.columns, zero_if_null(F.col("was_escalated")).alias("was_escalated"), "first_assignee"
+        *[n for n in counts.columns if n != "first_assignee"],
+        zero_if_null(F.col("was_escalated")).alias("was_escalated"), "first_assignee",
     )
 
 
+ASSIGNED_ORDER = ["created", "to_string"]
+
+
+def _given() -> Column:
+    """Does a change give the issue to somebody?"""
+    return upper_is(F.col("field"), "ASSIGNEE") & F.col("to_string").isNotNull()
+
+
 def escalation(changes: DataFrame) -> DataFrame:
     """WIN-03: did the target priority rise from one change to the next?
 
@@ -143,7 +152,7 @@ def escalation(changes: DataFrame) -> DataFrame:
 def first_assignee(changes: DataFrame) -> DataFrame:
     """WIN-04: the first assignee by time."""
     given = filter_ci(changes, "field", ["ASSIGNEE"]).filter(F.col("to_string").isNotNull())
-    return first_by(given, ["key"], ["created", "to_string"], "to_string", "first_assignee")
+    return first_by(given, ["key"], ASSIGNED_ORDER, "to_string", "first_assignee")
 
 
 def issuelinks_features(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -180,14 +189,22 @@ def status_transitions(changes: DataFrame) -> DataFrame:
 def daily_activity(issues: DataFrame, changes: DataFrame) -> DataFrame:
     """M-11: one row per day with creations, resolutions and changes.
 
+    Issues are read once, as a creation and, where there is one, a resolution.
     Changes are combined per day, issue and author first, so that the two
-    distinct counts multiply those rows and not the events.
+    distinct counts multiply those rows and not the events.  One aggregate over
+    both takes the place of full joins; undated creations and undated changes
+    stay two rows.
     """
     day = "activity_date"
-    created = issues.groupBy(dates.day_of(F.col("created_at")).alias(day)).agg(
-        F.count("*").alias("issues_created"),
-        F.count_if(F.col("issuetype") == "Bug").alias("bugs_created"),
-    )
+    names = ["issues_created", "bugs_created", "issues_resolved", "changelog_events", "active_issues", "active_contributors"]
+    event = lambda date, created, bug, resolved: F.struct(
+        dates.day_of(date).alias(day), F.lit(created).alias("issues_created"), bug.alias("bugs_created"),
+        F.lit(resolved).alias("issues_resolved"))
+    creation = event(F.col("created_at"), 1, flag(F.col("issuetype") == "Bug"), 0)
+    resolution = event(F.col("resolved_at"), 0, F.lit(0), 1)
+    of_issues = issues.select(F.explode(
+        F.when(F.col("resolved_at").isNull(), F.array(creation)).otherwise(F.array(creation, resolution))).alias("e")
+    ).select("e.*").groupBy(day).agg(*[F.sum(n).alias(n) for n in names[:3]])
     changed = (
         changes.groupBy(dates.day_of(F.col("created")).alias(day), "key", "author")
         .agg(F.count("*").alias("events"))
@@ -198,21 +215,17 @@ def daily_activity(issues: DataFrame, changes: DataFrame) -> DataFrame:
             F.count_distinct("author").alias("active_contributors"),
         )
     )
-    resolved = (
-        issues.filter(F.col("resolved_at").isNotNull())
-        .groupBy(dates.day_of(F.col("resolved_at")).alias(day))
-        .agg(F.count("*").alias("issues_resolved"))
-    )
-    count = lambda name: zero_if_null(F.col(name)).alias(name)
-    return full_align([created, changed, resolved], day).select(
+    both = of_issues.withColumn("undated", flag(F.col(day).isNull())).unionByName(
+        changed.withColumn("undated", 2 * flag(F.col(day).isNull())), allowMissingColumns=True)
+    count = lambda name: F.col(name)
+    return both.groupBy(day, "undated").agg(*[zero_if_null(F.sum(n)).alias(n) for n in names]).select(
         day,
         dates.day_of_week(F.col(day)).alias("day_of_week"),
         dates.iso_week(F.col(day)).alias("week_of_year"),
         F.year(day).alias("year"),
         count("issues_created"), count("bugs_created"), count("issues_resolved"),
         count("changelog_events"), count("active_issues"), count("active_contributors"),
-        (zero_if_null(F.col("issues_created")) - zero_if_null(F.col("issues_resolved")))
-        .alias("daily_backlog_delta"),
+        (F.col("issues_created") - F.col("issues_resolved")).alias("daily_backlog_delta"),
     )
 
 

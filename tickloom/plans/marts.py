@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import dates, text
 from tickloom.functions.numbers import pct, zero_if_null
-from tickloom.operators.aggregates import mean, median, mode
+from tickloom.operators.aggregates import counted, mean_of_counts, median
 from tickloom.operators.filters import in_splits
 from tickloom.operators.joins import wide_join
 from tickloom.operators.windows import cumulative, rolling_avg, share_of_max
@@ -64,23 +64,29 @@ def ops(issues: DataFrame, comments: DataFrame) -> DataFrame:
 def workload(issues: DataFrame) -> DataFrame:
     """M-15: load per assignee, open tickets included."""
     named = issues.filter(F.col("assignee") != "Unassigned")
+    # Durations are whole days below a limit and types are few: a bounded number of rows per assignee.
+    each = counted(
+        named, ["assignee"], [F.col("issuetype"), F.col("is_resolved"), F.col("resolution_days")],
+        F.min("created_at").alias("first_assignment"), F.max("created_at").alias("last_assignment"))
+    of_type = Window.partitionBy("assignee", "issuetype")
+    each = each.withColumn("of_type", F.sum("times").over(of_type))
     days = F.when(F.col("is_resolved") == 1, F.col("resolution_days"))
-    resolved = F.sum("is_resolved")
-    kind = lambda name: F.count_if(F.col("issuetype") == name)
-    return named.groupBy("assignee").agg(
-        F.count("*").alias("n_assigned"),
+    total, resolved = F.sum("times"), F.sum(F.col("is_resolved") * F.col("times"))
+    kind = lambda name: F.sum(F.when(F.col("issuetype") == name, F.col("times")).otherwise(0))
+    return each.groupBy("assignee").agg(
+        total.alias("n_assigned"),
         resolved.alias("n_fixed"),
-        (F.count("*") - resolved).alias("n_open_backlog"),
-        mean(days).alias("avg_resolution_days"),
+        (total - resolved).alias("n_open_backlog"),
+        mean_of_counts(days).alias("avg_resolution_days"),
         median(days).alias("median_resolution_days"),
-        pct(resolved, F.count("*")).alias("resolution_rate_pct"),
+        pct(resolved, total).alias("resolution_rate_pct"),
         kind("Bug").alias("n_bugs"),
         kind("Improvement").alias("n_improvements"),
         kind("New Feature").alias("n_new_features"),
-        mode(F.col("issuetype")).alias("top_issuetype"),
+        F.min_by("issuetype", F.struct(-F.col("of_type"), F.col("issuetype"))).alias("top_issuetype"),
         F.count_distinct("issuetype").alias("n_distinct_issuetypes"),
-        F.min("created_at").alias("first_assignment"),
-        F.max("created_at").alias("last_assignment"),
+        F.min("first_assignment").alias("first_assignment"),
+        F.max("last_assignment").alias("last_assignment"),
     )
 
 
@@ -96,9 +102,10 @@ def links(features: DataFrame) -> DataFrame:
 def transitions_sankey(transitions: DataFrame) -> DataFrame:
     """M-17: flow between each pair of states."""
     hours = F.col("hours_in_from_status")
-    return transitions.groupBy("from_status", "to_status").agg(
-        F.count("*").alias("n_transitions"),
-        mean(hours).alias("avg_hours_before_transition"),
+    each = counted(transitions, ["from_status", "to_status"], [hours], F.sum("is_reopen_event").alias("is_reopen_event"))
+    return each.groupBy("from_status", "to_status").agg(
+        F.sum("times").alias("n_transitions"),
+        mean_of_counts(hours).alias("avg_hours_before_transition"),
         median(hours).alias("median_hours_before_transition"),
         F.sum("is_reopen_event").alias("n_reopen_events"),
     ).orderBy(F.desc("n_transitions"), "from_status", "to_status")
@@ -107,11 +114,12 @@ def transitions_sankey(transitions: DataFrame) -> DataFrame:
 def transitions_time(transitions: DataFrame) -> DataFrame:
     """M-18: time spent in each state."""
     hours = F.col("hours_in_from_status")
-    per_state = transitions.filter(hours.isNotNull()).groupBy(F.col("from_status").alias("status")).agg(
-        F.count("*").alias("n_exits"),
-        mean(hours).alias("avg_hours"),
+    each = counted(transitions.filter(hours.isNotNull()), ["from_status"], [hours])
+    per_state = each.groupBy(F.col("from_status").alias("status")).agg(
+        F.sum("times").alias("n_exits"),
+        mean_of_counts(hours).alias("avg_hours"),
         median(hours).alias("median_hours"),
-        mean(hours, scale=24).alias("avg_days"),
+        mean_of_counts(hours, scale=24).alias("avg_days"),
         median(hours, scale=24).alias("median_days"),
     )
     label = text.duration_label(F.col("status"), F.col("avg_days"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import fixed_values as fv
+from tickloom.sources.tables import write_table
 
 BAD = "_bad"
 
@@ -28,15 +29,44 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(header=True, quote='"', escape='"').csv(path).columns
 
 
+def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a folder or pattern by their column names, in the order of the
+    names of the files.  Listing reads no content, and of each file only its
+    first line is read."""
+    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        groups.setdefault(tuple(header_of(spark, file)), []).append(file)
+    return groups
+
+
+def _rows(spark: SparkSession, path: str, names: list[str] | None, multi_line: bool, options: dict[str, str],
+          more: list[str]) -> DataFrame:
+    """Columns by name: files may order them differently, one that lacks a name raises."""
+    groups = files_by_header(spark, path)
+    if not groups:
+        raise ValueError(f"no files in {path}")
+    names = names or list(next(iter(groups)))
+    parts = []
+    for header, files in groups.items():
+        missing = [n for n in names if n not in header]
+        if missing:
+            raise ValueError(f"missing columns: {', '.join(missing)} in {files[0]}")
+        read = _reader(spark, multi_line).options(enforceSchema=False, **options).schema(strings([*header, *more])).csv(files)
+        parts.append(read.select(*[F.col(f"`{n}`") for n in [*names, *more]]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_csv_table(spark: SparkSession, path: str, names: list[str] | None = None,
                    multi_line: bool = True) -> DataFrame:
     """SRC-01: comma separated, optional quotes, header, all strings, plain or gzip.
 
     Quoted fields may hold newlines, so one task reads a file: export a large
     table as a folder of many files.  A table without such newlines can be read
-    with ``multi_line=False``, which splits its files.
+    with ``multi_line=False``, which splits its files.  Every file is read by
+    its own header.
     """
-    return _reader(spark, multi_line).schema(strings(names or header_of(spark, path))).csv(path)
+    return _rows(spark, path, names, multi_line, {}, [])
 
 
 def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None,
@@ -46,11 +76,8 @@ def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None
     A row with too few or too many fields is rejected as a whole and keeps its
     text in ``_bad``; the load goes on.
     """
-    names = names or header_of(spark, path)
-    rows = (
-        _reader(spark, multi_line).schema(strings([*names, BAD]))
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=BAD).csv(path)
-    )
+    rows = with_rejected(spark, path, names, multi_line)
+    names = rows.columns
     # Always true.  Spark refuses a query that reads the rejected text alone, as
     # a plain count would, so both filters look at the first column too.
     seen = F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
@@ -60,6 +87,13 @@ def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None
     )
 
 
+def with_rejected(spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """All rows; a rejected one has its text in ``_bad``, a good one NULL."""
+    # Without pruning: a parser that skips columns does not see that a row is short.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "columnPruning": "false"}
+    return _rows(spark, path, names, multi_line, options, [BAD])
+
+
 def null_tokens(df: DataFrame, tokens: list[str] = fv.NULL_TOKENS) -> DataFrame:
     """SRC-02: texts that stand for nothing become NULL in every string column."""
     def clean(name: str, kind: str) -> Column:
@@ -82,6 +116,22 @@ def land(df: DataFrame, contract: dict[str, str], tokens: list[str] = fv.NULL_TO
     return with_field_norm(null_tokens(select_contract(df, contract), tokens))
 
 
+def land_raw(spark: SparkSession, path: str, contract: dict[str, str], target: str, multi_line: bool,
+             tokens: list[str] = fv.NULL_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """SRC-08: the raw table, written once as Parquet, and its rejected rows.
+
+    The text files are parsed once: rejected rows lie in the same table with
+    their text.  Changes are sorted by ``field_norm`` inside each file, so that
+    filters on it skip most row groups.  ``multi_line`` has no default, for it
+    decides whether a file can be split (see :func:`read_csv_table`).
+    """
+    rows = with_rejected(spark, path, list(contract), multi_line)
+    landed = with_field_norm(null_tokens(rows.select(
+        *[F.col(f"`{n}`").alias(new) for n, new in contract.items()], BAD), tokens))
+    table = write_table(landed, target, sort_by="field_norm" if "field_norm" in landed.columns else None)
+    return table.filter(F.col(BAD).isNull()).drop(BAD), table.filter(F.col(BAD).isNotNull()).select(BAD)
+
+
 def with_field_norm(raw: DataFrame) -> DataFrame:
     """Give changes their field name in upper case too: a filter on that column
     reaches the files, one on ``upper(field)`` does not."""

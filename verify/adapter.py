@@ -143,10 +143,13 @@ def raw_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "view", version)
         .when(kind == "purchase", "Fixed")
     )
-    return table(spark, sf_dir, "events").select(
-        ticket_key("user_id").alias("key"),
+    # Events lie in one month; they are moved and spread over the years of the orders.
+    at = F.col("ts") - F.make_dt_interval(days=8400 + 30 * (k % 60))
+    events = table(spark, sf_dir, "events").withColumn("ticket", F.col("user_id") + 150 * (k % 7))
+    return events.select(
+        ticket_key("ticket").alias("key"),
         F.concat(F.lit("a"), number(k % 9)).alias("author"),
-        stamp(F.col("ts")).alias("created"),
+        stamp(at).alias("created"),
         F.coalesce(choose(kind, FIELD_NAME), F.when(F.col("value") < 10, "resolution").otherwise("Rank")).alias("field"),
         F.when(kind == "signup", choose_index(F.floor(k / 6) % 6, STATUS_FROM)).alias("fromstring"),
         target.alias("tostring"),
@@ -167,11 +170,15 @@ def raw_issuelinks(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARENT_FLAG = {"1-URGENT": 1, "2-HIGH": 0, "3-MEDIUM": 1, "5-LOW": -1}
 
 
-def raw_parent_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetched parent rows: 1, 0, -1 for a failed lookup, NULL when empty."""
+def raw_parent_keys(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Fetched parent rows: 1, 0, -1 for a failed lookup, NULL when empty.
+
+    Orders in progress have not been fetched yet, unless ``whole``.
+    """
     flag = choose(F.col("o_orderpriority"), PARENT_FLAG).cast("int")
     parent = F.concat(F.lit(f"{PROJECT}-"), (F.col("o_orderkey") - 1).cast("string"))
-    return table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(
+    orders = table(spark, sf_dir, "orders")
+    return (orders if whole else orders.filter("o_orderstatus <> 'P'")).select(
         ticket_key("o_orderkey").alias("key"),
         F.when(flag == 1, parent).alias("parent_key"),
         flag.alias("has_parent"),
@@ -179,7 +186,8 @@ def raw_parent_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parent_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same parents as nested payloads."""
-    rows = raw_parent_keys(spark, sf_dir)
+    """The parents of all orders as nested payloads; a failed lookup has none."""
+    rows = raw_parent_keys(spark, sf_dir, whole=True)
     parent = F.when(F.col("parent_key").isNotNull(), F.struct(F.col("parent_key").alias("key")))
-    return rows.select("key", F.to_json(F.struct(F.struct(parent.alias("parent")).alias("fields"))).alias("payload"))
+    payload = F.to_json(F.struct(F.struct(parent.alias("parent")).alias("fields")))
+    return rows.select("key", F.when(~F.col("has_parent").eqNullSafe(-1), payload).alias("payload"))

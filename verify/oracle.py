@@ -111,7 +111,8 @@ CTES: dict[str, str] = {
           TIMESTAMP '2001-09-01 00:50:00' + to_minutes(turn * 25) AS comment_created,
           CAST(NULL AS TIMESTAMP) AS comment_updated FROM conversations""",
     "raw_changelog": f"""
-        SELECT {KEY}user_id AS key, 'a' || (k % 9) AS author, ts AS created,
+        SELECT {KEY}(user_id + 150 * (k % 7)) AS key, 'a' || (k % 9) AS author,
+          ts - to_days(8400 + 30 * (k % 60)) AS created,
           CASE event_type WHEN 'signup' THEN 'status' WHEN 'error' THEN 'Priority' WHEN 'click' THEN 'assignee'
             WHEN 'view' THEN 'Fix Version/s' ELSE CASE WHEN value < 10 THEN 'resolution' ELSE 'Rank' END END AS field,
           CASE WHEN event_type = 'signup' THEN {kcase('(k // 6) % 6', ad.STATUS_FROM)} END AS from_string,
@@ -127,10 +128,11 @@ CTES: dict[str, str] = {
           CASE l_linenumber WHEN 5 THEN 'Cloners' WHEN 6 THEN 'Blocked' WHEN 7 THEN 'Blocker' ELSE
             CASE l_returnflag WHEN 'R' THEN 'Reference' WHEN 'A' THEN 'duplicate' WHEN 'N' THEN 'Container' END END AS type_name,
           {KEY}l_partkey AS inwardissue_key, {KEY}l_suppkey AS outwardissue_key FROM lineitem""",
-    "raw_parents": f"""
-        SELECT key, CASE WHEN has_parent = 1 THEN {KEY}(o_orderkey - 1) END AS parent_key, has_parent FROM (
-          SELECT {KEY}o_orderkey AS key, o_orderkey, CAST({case('o_orderpriority', ad.PARENT_FLAG)} AS INTEGER) AS has_parent
-          FROM orders WHERE o_orderstatus <> 'P')""",
+    "every_parent": f"""
+        SELECT key, CASE WHEN has_parent = 1 THEN {KEY}(o_orderkey - 1) END AS parent_key, has_parent, o_orderstatus FROM (
+          SELECT {KEY}o_orderkey AS key, o_orderkey, o_orderstatus, CAST({case('o_orderpriority', ad.PARENT_FLAG)} AS INTEGER) AS has_parent
+          FROM orders)""",
+    "raw_parents": "SELECT key, parent_key, has_parent FROM every_parent WHERE o_orderstatus <> 'P'",
     "parents": """
         SELECT key, parent_key, CAST(CASE WHEN has_parent >= 1 THEN 1 ELSE 0 END AS INTEGER) AS has_parent FROM raw_parents""",
     "type_map": f"SELECT * FROM ({values(list(fv.ISSUETYPE_MAPPING.items()))}) m(issuetype_raw, issuetype)",
