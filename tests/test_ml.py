@@ -151,6 +151,11 @@ def test_training_beats_majority(spark):
     vectors = mart.select("key", "embedding")
     preds = train.train_and_predict(mart.drop("embedding"), vectors, vectors, ["n_comments"], max_iter=50).cache()
     assert preds.count() == 80
+    # A ticket without an embedding keeps its row.
+    some = vectors.filter("key <> 'k299'")
+    assert train.train_weighted(mart.drop("embedding"), some, some, ["n_comments"], max_iter=5).filter("key = 'k299'").count() == 1
+    with pytest.raises(ValueError):
+        train.prepare(mart.drop("embedding"), vectors.limit(0), ["n_comments"])
     assert preds.filter("conf_issuetype < 0.3 or conf_issuetype > 1").count() == 0
     accuracy = preds.agg(F.avg((F.col("true_issuetype") == F.col("pred_issuetype")).cast("int"))).first()[0]
     assert accuracy > 0.8

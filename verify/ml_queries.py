@@ -11,8 +11,8 @@ from tickloom.operators import filters
 from tickloom.operators.aggregates import first_by
 from tickloom.sources.tables import write_table
 from verify.operator_queries import scratch
-from verify.oracle import TEXT, half_up, q, rules as rules_sql, sql, values
-from verify.queries import Models, register
+from verify.oracle import TEXT, half_up, in_list, q, rules as rules_sql, sql, values
+from verify.queries import ORACLE, Models, register
 
 c = F.col
 SCALED = ["resolution_days", "summary_length", "description_length"]
@@ -50,10 +50,15 @@ def vectors(m: Models) -> DataFrame:
 def _ml02(m: Models) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
-    return vectors(m).select("vec_id", "label", vector_to_array("features").alias("features"))
+    values = F.transform(vector_to_array("features"), lambda x: F.round(x, 5))
+    return vectors(m).select("vec_id", "label", values.alias("features"))
 
 
-register("ml02_assemble", _ml02)
+_scaled = lambda n: f"({_fc(n)} - avg({_fc(n)}) OVER ()) / stddev_pop({_fc(n)}) OVER ()"
+ORDER_NUMBERS = ("o_totalprice", "o_custkey")
+register("ml02_assemble", _ml02, f"""
+    SELECT vec_id, label, list_transform(list_concat(embedding::DOUBLE[], [{', '.join(map(_scaled, ORDER_NUMBERS))}]), lambda x: round(x, 5)) AS features
+    FROM embeddings LEFT JOIN orders ON vec_id = o_orderkey""")
 register("ml03_class_weights", lambda m: features.with_class_weights(tickets(m), "issuetype")
          .select("key", "issuetype", F.round("weight", 6).alias("weight")),
          sql("""SELECT key, issuetype, round((SELECT count(*) FROM tickets)::DOUBLE
@@ -88,17 +93,84 @@ def _ml06(m: Models) -> DataFrame:
     return model.score(rows, "prediction_label", "confidence").select("vec_id", "label", "prediction_label", "confidence")
 
 
-def _train_and_predict(m: Models) -> DataFrame:
-    mart = m.mart_ml().withColumn("issuetype", labels.merge_rare(c("issuetype"), fv.RARE_ISSUETYPES_5))
-    mart = write_table(mart, scratch(m, "mart"))
-    by_type = write_table(embed.embed_tfidf(mart, "text_for_it", dim=128), scratch(m, "type_vectors"))
-    by_resolution = write_table(embed.embed_tfidf(mart, "text_for_res", dim=128), scratch(m, "resolution_vectors"))
-    return train.train_and_predict(mart, by_type, by_resolution, max_iter=100)
+RUNS: dict[tuple[str, str, str], DataFrame] = {}
 
 
-register("ml06_train_and_predict", _train_and_predict)
+def _trained(m: Models, run) -> DataFrame:
+    """Predictions of a training run with its own defaults; written once per session."""
+    place = (m.spark.sparkContext.applicationId, m.sf_dir, run.__name__)
+    if place not in RUNS:
+        mart = m.mart_ml().withColumn("issuetype", labels.merge_rare(c("issuetype"), fv.RARE_ISSUETYPES_5))
+        mart = write_table(mart, scratch(m, "mart"))
+        by_type = write_table(embed.embed_tfidf(mart, "text_for_it"), scratch(m, "type_vectors"))
+        by_resolution = write_table(embed.embed_tfidf(mart, "text_for_res"), scratch(m, "resolution_vectors"))
+        RUNS[place] = write_table(run(mart, by_type, by_resolution), scratch(m, "predictions"))
+    return RUNS[place]
+
+
+def _checked(m: Models, run) -> DataFrame:
+    """One row per validation ticket: its labels, and whether the predictions are possible ones."""
+    rows = _trained(m, run)
+    known = lambda label: F.array(*[F.lit(x) for x in train.label_classes(
+        filters.in_splits(m.mart_ml(), ["train"]).withColumn("issuetype", labels.merge_rare(c("issuetype"), fv.RARE_ISSUETYPES_5)), label)])
+    likely = lambda p: (c(p) > 0) & (c(p) <= 1)
+    return rows.select(
+        "key", "true_issuetype", "true_resolution", "method", "fix_summary",
+        F.array_contains(known("issuetype"), c("pred_issuetype")).alias("known_issuetype"),
+        F.array_contains(known("resolution"), c("pred_resolution")).alias("known_resolution"),
+        (likely("conf_issuetype") & likely("conf_resolution")).alias("likely"))
+
+
+def _checked_sql(method: str) -> str:
+    return sql(f"""SELECT key, CASE WHEN issuetype IN {in_list(fv.RARE_ISSUETYPES_5)} THEN 'Other' ELSE issuetype END AS true_issuetype,
+        resolution AS true_resolution, '{method}' AS method, '' AS fix_summary, true AS known_issuetype, true AS known_resolution, true AS likely
+        FROM mart_ml WHERE split = 'validation'""")
+
+
+def _fit_checks(m: Models) -> DataFrame:
+    """Of the fitted weights: class set, probabilities that add up to 1, and the
+    slope of the penalised loss at them, which is 0 at the best ones."""
+    rows, model = _fitted(m)
+    plain = train.LinearClassifier.of(model)
+    from pyspark.ml.functions import vector_to_array
+
+    scored = features.with_class_weights(rows, "label").withColumn("x", vector_to_array("features")).withColumn("p", plain.probabilities(c("x")))
+    total = scored.agg(F.sum("weight")).first()[0]
+    miss = F.transform("p", lambda p, i: (p - (F.element_at(F.array(*[F.lit(x) for x in plain.classes]), i + 1) == c("label")).cast("double")) * c("weight"))
+    slopes = scored.select(F.posexplode(miss).alias("class", "miss"), "x").select("class", "miss", F.posexplode("x").alias("feature", "value"))
+    slopes = slopes.groupBy("class", "feature").agg((F.sum(c("miss") * c("value")) / total).alias("slope"))
+    weights = m.spark.createDataFrame(
+        [(k, i, w) for k, row in enumerate(plain.coefficients) for i, w in enumerate(row)], "class int, feature int, w double")
+    steep = slopes.join(weights, ["class", "feature"]).agg(F.max(F.abs(c("slope") + c("w") / total))).first()[0]
+    return scored.agg(
+        F.count_distinct("label").alias("n_classes"), F.count("*").alias("n_rows"),
+        F.max(F.abs(F.aggregate("p", F.lit(0.0), lambda s, p: s + p) - 1) < 1e-9).alias("adds_up"),
+        F.lit(steep < 1e-3).alias("flat"))
+
+
+PINNED = train.LinearClassifier(
+    [[round(((k + 2) * (i + 3) % 11 - 5) / 10, 2) for i in range(66)] for k in range(3)], [0.1, -0.2, 0.05], ["a", "b", "c"])
+
+
+def _pinned_sql(x: str, model: train.LinearClassifier, label: str, confidence: str, source: str, keys: str) -> str:
+    product = lambda row: f"list_inner_product({x}, [{', '.join(map(str, row))}]::DOUBLE[])"
+    scores = ", ".join(f"{product(row)} + {b}" for row, b in zip(model.coefficients, model.intercepts))
+    named = ", ".join(map(q, model.classes))
+    return f"""SELECT {keys}, [{named}][list_position(s, list_max(s))] AS {label},
+        round(1 / list_sum(list_transform(s, lambda v: exp(v - list_max(s)))), 4) AS {confidence}
+        FROM (SELECT *, [{scores}] AS s FROM {source})"""
+
+
+def _pinned(m: Models) -> DataFrame:
+    return PINNED.score(_ml02(m), "features", "prediction_label", "confidence").select("vec_id", "prediction_label", "confidence")
+
+
+register("ml06_train_and_predict", lambda m: _checked(m, train.train_and_predict), _checked_sql("LR_BALANCED"))
+register("ml06_train_weighted", lambda m: _checked(m, train.train_weighted), _checked_sql("LR_WEIGHTED"))
 register("ml05_fit_lr", _ml05)
+register("ml05_fit_checks", _fit_checks, "SELECT count(DISTINCT label) AS n_classes, count(*) AS n_rows, true AS adds_up, true AS flat FROM embeddings")
 register("ml06_score", _ml06)
+register("ml06_score_pinned", _pinned, _pinned_sql("features", PINNED, "prediction_label", "confidence", "(" + ORACLE["ml02_assemble"] + ")", "vec_id"))
 register("ml07_evaluate", lambda m: evaluate.evaluate(predicted(m), "issuetype", "pred_issuetype"), sql(
     """SELECT round(sum(CASE WHEN issuetype = pred_issuetype THEN 1 ELSE 0 END) / count(*)::DOUBLE, 4) AS accuracy,
          (SELECT round(avg(f1), 4) FROM (
@@ -128,6 +200,20 @@ register("ml10_class_distribution", lambda m: evaluate.class_distribution(ticket
 register("ml11_embed_tfidf", lambda m: embed.embed_tfidf(m.table("documents"), "text", "doc_id"))
 
 
+def _embedding_checks(m: Models) -> DataFrame:
+    """Per distinct text: documents, distinct vectors, their width and length."""
+    docs = m.table("documents")
+    both = embed.embed_tfidf(docs, "text", "doc_id").join(docs.select("doc_id", F.md5("text").alias("text_md5")), "doc_id")
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return both.groupBy("text_md5").agg(
+        F.count("*").alias("n"), F.count_distinct("embedding").alias("n_vectors"), F.max(F.size("embedding")).alias("width"),
+        F.round(F.min(norm), 5).alias("norm"))
+
+
+register("ml11_embedding_checks", _embedding_checks,
+         "SELECT md5(text) AS text_md5, count(*) AS n, 1::BIGINT AS n_vectors, 1024 AS width, 1.0::DOUBLE AS norm FROM documents GROUP BY 1")
+
+
 def letter_encoder():
     """A stand-in model: letter counts."""
     import numpy as np
@@ -246,6 +332,23 @@ register("ml16_request_features", lambda m: features.request_features(
     m.ops().select("key", "n_comments", "resolution_days"), ["n_links_total", "n_comments", "resolution_days", "has_parent"], 4),
     sql("""SELECT key, 0.0::DOUBLE AS n_links_total, n_comments::DOUBLE AS n_comments, coalesce(resolution_days, 0)::DOUBLE AS resolution_days,
            0.0::DOUBLE AS has_parent, [0.0, 0.0, 0.0, 0.0]::DOUBLE[] AS embedding FROM ops"""))
+REQUEST_NAMES = ["n_comments", "resolution_days", "n_links_total"]
+REQUEST_SCALER = features.Scaler(
+    {"n_comments": 2.5, "resolution_days": 300.0, "n_links_total": 1.0}, {"n_comments": 2.0, "resolution_days": 250.0, "n_links_total": 0.0})
+TYPE_MODEL = train.LinearClassifier([[0.5, 0.5, 0.7, -0.3, 0.2], [0.1, 0.2, -0.4, 0.6, 0.1]], [0.1, 0.0], ["Bug", "Improvement"])
+RESOLUTION_MODEL = train.LinearClassifier(
+    [[1.0, 1.0, 0.3, -0.8, 0.0], [0.0, 0.0, -0.2, 0.4, 0.5], [0.0, 1.0, 0.1, 0.1, 0.2]], [0.2, 0.1, -0.1], ["Fixed", "Invalid", "Won't Fix"])
+
+
+def _score_requests(m: Models) -> DataFrame:
+    return train.score_requests(m.ops().select("key", "n_comments", "resolution_days"), REQUEST_SCALER, REQUEST_NAMES, 2, TYPE_MODEL, RESOLUTION_MODEL)
+
+
+_requests = """(SELECT key, [0.0, 0.0, (n_comments - 2.5) / 2.0, (coalesce(resolution_days, 0) - 300.0) / 250.0, -1.0]::DOUBLE[] AS x FROM ops)"""
+register("ml16_score_requests", _score_requests, sql(
+    "SELECT key, pred_issuetype, conf_issuetype, pred_resolution, conf_resolution FROM ("
+    + _pinned_sql("x", TYPE_MODEL, "pred_issuetype", "conf_issuetype", _requests, "key") + ") JOIN ("
+    + _pinned_sql("x", RESOLUTION_MODEL, "pred_resolution", "conf_resolution", _requests, "key") + ") USING (key)"))
 register("ml17_encode_label", lambda m: m.analytics().select(
     "key", labels.encode_label(c("issuetype"), fv.CLASSES_5).alias("id"),
     labels.decode_label(labels.encode_label(c("issuetype"), fv.CLASSES_5), fv.CLASSES_5).alias("label")),
