@@ -89,6 +89,24 @@ def test_nearest_is_exact(spark, boosts):
         assert [s for s, _ in sorted(found[q])] == pytest.approx([s for s, _ in expected[q]])
 
 
+def test_probes_find_most_of_a_larger_table_with_few_pairs(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(30, 16))
+    data = [(i, [float(x) for x in centres[i % 30] + 0.4 * rng.normal(size=16)], i % 30) for i in range(2000)]
+    df = spark.createDataFrame(data, "key long, embedding array<double>, label int")
+    batch = df.filter("key % 20 = 0")
+    probes = neighbours.probes_for(df, df, k=5, sample=50)
+    assert probes <= 15  # of 45 cells
+    found = neighbours.nearest(df, df, k=5, probes=probes)
+    assert neighbours.recall(found, neighbours.nearest(batch, df, k=5)).first()["recall"] >= 0.9
+    with pytest.raises(ValueError, match="exact"):
+        old, neighbours.EXACT_QUERIES = neighbours.EXACT_QUERIES, 10
+        try:
+            neighbours.nearest(df, df)
+        finally:
+            neighbours.EXACT_QUERIES = old
+
+
 def test_vote(spark):
     df = spark.createDataFrame([(1, 10, 0.9, "a"), (1, 11, 0.5, "b"), (1, 12, 0.4, "b"), (2, 13, 0.3, "c")],
                                "query int, neighbour int, score double, label string")

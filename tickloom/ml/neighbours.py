@@ -1,11 +1,15 @@
-"""Exact nearest neighbours and a weighted vote.
-
-Index vectors are grouped around a bounded number of pivots.  A query visits
-only the cells that can hold one of its k best neighbours: the triangle
-inequality bounds the similarity inside a cell from its pivot and radius, so
-nothing that counts is left out.  Cells are cut into blocks, queries as well,
-so no task takes a whole cell; a task multiplies two bounded blocks and hands
-on the k best per query.
+"""Nearest neighbours, approximate or exact, and a weighted vote.
+
+Index vectors are grouped around pivots, about as many as the square root of
+their number.  With ``probes`` a query visits that many cells, the ones whose
+pivots are nearest: the pairs that are scored grow with the power 1.5 of the
+table, and ``recall`` says what the search finds.  Without, it visits every
+cell that can hold one of its k best neighbours: the triangle inequality bounds
+the similarity inside a cell from its pivot and radius, so nothing that counts
+is left out.  In many dimensions that bound excludes little, so the exact form
+is for a bounded batch of queries and raises above ``EXACT_QUERIES``.  Cells are
+cut into blocks, queries as well, so no task takes a whole cell; a task
+multiplies two bounded blocks and hands on the k best per query.
 """
 
 from __future__ import annotations
@@ -21,6 +25,9 @@ from tickloom.functions import fixed_values as fv
 from tickloom.operators.windows import first_n
 
 DIGITS = 6
+MOST_PIVOTS = 4096
+EXACT_QUERIES = 100_000
+CHUNK = 512  # vectors whose distances to all pivots are held at a time
 
 
 def _unit(vectors) -> np.ndarray:
@@ -35,7 +42,7 @@ def _distances(m: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 def nearest(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: str = "key",
             vector: str = "embedding", label: str = "label", boosts: dict[str, float] | None = None,
-            pivots: int = 64, block: int = 4096) -> DataFrame:
+            pivots: int | None = None, block: int = 4096, probes: int | None = None) -> DataFrame:
     """ML-15a: the ``k`` best index rows per query by cosine plus metadata boosts.
 
     A boost is added when the column is equal on both sides.  A query is not
@@ -43,19 +50,20 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: s
     smaller key.
     """
     boosts = dict(boosts or {})
-    # The pivots: a fixed number of rows, chosen by hash.
-    chosen = index.orderBy(F.md5(F.col(key).cast("string")), key).select(vector).limit(pivots).collect()
-    if not chosen:
-        raise ValueError("the index is empty")
-    P = _unit([r[0] for r in chosen])
+    P = pivot_vectors(index, key, vector, pivots)
     n_queries = queries.count()
+    if probes is None and n_queries > EXACT_QUERIES:
+        raise ValueError(f"exact search takes up to {EXACT_QUERIES} queries; pass probes, or a smaller batch")
     query_blocks = max(1, math.ceil(n_queries / block))
 
     @F.pandas_udf("cell int, dist double")
     def place(v: pd.Series) -> pd.DataFrame:
-        d = _distances(_unit(v), P)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "dist": d[np.arange(len(cell)), cell]})
+        cells, dists = [], []
+        for start in range(0, len(v), CHUNK):
+            d = _distances(_unit(v.iloc[start:start + CHUNK]), P)
+            cells.append(d.argmin(axis=1))
+            dists.append(d.min(axis=1))
+        return pd.DataFrame({"cell": np.concatenate(cells).astype("int32"), "dist": np.concatenate(dists)})
 
     # Queries and index may be the same table: the index side gets names of its own.
     theirs = {b: f"_index_{b}" for b in boosts}
@@ -74,7 +82,12 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: s
 
     @F.pandas_udf("array<int>")
     def cells_to_visit(v: pd.Series) -> pd.Series:
-        d = _distances(_unit(v), P)
+        return pd.Series([x for start in range(0, len(v), CHUNK) for x in visits_of(_distances(_unit(v.iloc[start:start + CHUNK]), P))])
+
+    def visits_of(d: np.ndarray) -> list[np.ndarray]:
+        if probes is not None:
+            nearest_cells = np.argsort(np.where(size > 0, d, np.inf), axis=1, kind="stable")[:, :min(probes, int((size > 0).sum()))]
+            return list(nearest_cells.astype("int32"))
         far = d + radius
         order = np.argsort(far, axis=1)
         # The query itself may be in the index, hence more than k.
@@ -85,7 +98,7 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: s
         best = 1.0 - np.maximum(d - radius, 0.0) ** 2 / 2.0 + most
         # The slack covers the rounding of both scores.
         visit = (best >= floor - 2 * 10.0**-DIGITS) & (size > 0)
-        return pd.Series([np.flatnonzero(r).astype("int32") for r in visit])
+        return [np.flatnonzero(r).astype("int32") for r in visit]
 
     block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
     visits = queries.select(
@@ -141,5 +154,36 @@ def vote(neighbours: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def knn_vote(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, **options) -> DataFrame:
-    return vote(nearest(queries, index, k, **options))
+def pivot_vectors(index: DataFrame, key: str, vector: str, pivots: int | None = None) -> np.ndarray:
+    """Rows chosen by hash, a bounded number."""
+    pivots = pivots or min(MOST_PIVOTS, math.ceil(math.sqrt(max(1, index.count()))))
+    chosen = index.orderBy(F.md5(F.col(key).cast("string")), key).select(vector).limit(pivots).collect()
+    if not chosen:
+        raise ValueError("the index is empty")
+    return _unit([r[0] for r in chosen])
+
+
+def probes_for(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: str = "key", vector: str = "embedding",
+               label: str = "label", boosts: dict[str, float] | None = None, target: float = 0.95, sample: int = 200) -> int:
+    """Probes that find the share ``target`` of the exact neighbours of a bounded
+    sample of queries: few where vectors lie in groups, most cells where they
+    are spread evenly, as no index helps there."""
+    P = pivot_vectors(index, key, vector)
+    some = queries.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit("#"))), key).limit(sample)
+    exact = nearest(some, index, k, key, vector, label, boosts)
+    pairs = exact.select("query", "neighbour").join(
+        index.select(F.col(key).alias("neighbour"), F.col(vector).alias("_w")), "neighbour").join(
+        queries.select(F.col(key).alias("query"), F.col(vector).alias("_v")), "query").select("_v", "_w").collect()
+    if not pairs:
+        return 1
+    cell = _distances(_unit([r["_w"] for r in pairs]), P).argmin(axis=1)
+    order = np.argsort(_distances(_unit([r["_v"] for r in pairs]), P), axis=1, kind="stable")
+    place = (order == cell[:, None]).argmax(axis=1)
+    return int(np.quantile(place, target, method="higher")) + 1
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: exact neighbours, and the share of them that was found."""
+    hit = found.select("query", "neighbour", F.lit(1).alias("hit"))
+    return exact.join(hit, ["query", "neighbour"], "left").agg(
+        F.count("*").alias("n"), (F.count("hit") / F.count("*")).alias("recall"))
