@@ -106,15 +106,17 @@ def references(types: DataFrame, mart: DataFrame, k: int = 3) -> DataFrame:
 def advise(requests: DataFrame, mart: DataFrame, k: int = 3) -> DataFrame:
     """Rule prediction, recommendation and reference keys for a table of new tickets.
 
-    ``requests`` has ``key``, ``summary``, ``description`` and ``priority``.
+    ``requests`` has ``key``, ``summary``, ``description`` and ``priority``; it
+    is read once, for references are looked up for every type the rules know.
     """
     predicted = rule_predict(requests, "summary", "description")
     advised = recommend(predicted, "summary", "description", "priority", "pred_issuetype", "pred_resolution")
-    found = references(predicted.select(F.col("pred_issuetype").alias("issuetype")), mart, k)
-    # At most k references per type.
+    possible = sorted({kind for _, kind, _ in fv.PREDICTION_RULES} | {fv.PREDICTION_DEFAULT[0]})
+    found = references(literal_table(requests.sparkSession, ["issuetype"], [(kind,) for kind in possible]), mart, k)
+    # At most k references for each of these few types.
     per_type = found.groupBy(F.col("issuetype").alias("pred_issuetype")).agg(
         F.array_join(F.array_sort(F.collect_list("key")), ", ").alias("reference_keys")
     )
-    return advised.join(checked_broadcast(per_type), "pred_issuetype", "left").select(
+    return advised.join(F.broadcast(per_type), "pred_issuetype", "left").select(
         "key", "pred_issuetype", "pred_resolution", "recommendation", "recommendation_source", "reference_keys"
     )

@@ -279,26 +279,25 @@ def _with_lib(final: str) -> str:
 register("ml14_fallback_refs", lambda m: rules.fallback_refs(tickets(m).select("issuetype")), _with_lib(FALLBACK.format("tickets")))
 register("ml14_references", lambda m: rules.references(
     predicted(m).select(c("pred_issuetype").alias("issuetype")),
-    filters.in_splits(m.cleaned(), ["validation"]).filter(~c("issuetype").isin("Task"))
-    .withColumnRenamed("summary", "summary_clean")),
+    _past(m)),
     _with_lib(f"""SELECT key, summary AS summary_clean, issuetype, resolution, 0.0::DOUBLE AS similarity, 'mart' AS source
-        FROM tickets WHERE split = 'validation' AND issuetype <> 'Task' AND issuetype IN (SELECT pred_issuetype FROM predicted)
+        FROM tickets WHERE issuetype IN (SELECT pred_issuetype FROM predicted)
         QUALIFY row_number() OVER (PARTITION BY issuetype ORDER BY key) <= 3
         UNION ALL SELECT * FROM ({FALLBACK.format('''(SELECT pred_issuetype AS issuetype FROM predicted WHERE pred_issuetype NOT IN
-          (SELECT issuetype FROM tickets WHERE split = 'validation' AND issuetype <> 'Task'))''')})"""))
+          (SELECT issuetype FROM tickets))''')})"""))
 
 
 def _past(m: Models) -> DataFrame:
-    return filters.in_splits(m.cleaned(), ["validation"]).withColumnRenamed("summary", "summary_clean")
+    return tickets(m).withColumnRenamed("summary", "summary_clean")
 
 
 register("ml13_advise", lambda m: rules.advise(tickets(m), _past(m)), _with_lib(f"""
     SELECT key, pred_issuetype, pred_resolution, {_recommendation()} AS recommendation,
       {q(fv.RECOMMENDATION_SOURCE)} AS recommendation_source, reference_keys
     FROM predicted JOIN (SELECT issuetype AS pred_issuetype, string_agg(key, ', ' ORDER BY key) AS reference_keys FROM (
-        SELECT issuetype, key FROM tickets WHERE split = 'validation' QUALIFY row_number() OVER (PARTITION BY issuetype ORDER BY key) <= 3
+        SELECT issuetype, key FROM tickets QUALIFY row_number() OVER (PARTITION BY issuetype ORDER BY key) <= 3
         UNION ALL SELECT issuetype, key FROM ({FALLBACK.format('(SELECT pred_issuetype AS issuetype FROM predicted)')})
-          WHERE issuetype NOT IN (SELECT issuetype FROM tickets WHERE split = 'validation')) GROUP BY 1) USING (pred_issuetype)"""))
+          WHERE issuetype NOT IN (SELECT issuetype FROM tickets)) GROUP BY 1) USING (pred_issuetype)"""))
 
 
 def _described(m: Models) -> DataFrame:
