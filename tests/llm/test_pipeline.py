@@ -36,3 +36,39 @@ def test_stages_take_tables_without_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.count() == 0
+
+
+def test_run_equals_brute_force_after_the_learned_stage(spark):
+    """The score of the first stage is taken from its query; all else is recomputed in plain Python."""
+    import re
+
+    import sentencepiece
+
+    from tests.llm.test_near_copies import brute
+    from tests.llm.test_texts import brute_hits, brute_secrets
+    from tickloom.llm import pieces
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    toxic = {r["doc_id"] for r in QUERIES["op9_toxicity"](spark, SMALL).collect() if r["predicted"]}
+    left = {i: t for i, t in docs.items() if i not in toxic}
+    left = {i: left[i] for i, (_, first) in brute(list(left.items())).items() if i == first}
+    windows = {" ".join(w[k:k + 10]) for _, t in items for w in [re.findall("[0-9a-z\x80-\U0010ffff]+", t.lower())] for k in range(len(w) - 9)}
+    said = lambda t: f" {' '.join(re.findall('[0-9a-z' + chr(128) + '-' + chr(0x10ffff) + ']+', t.lower()))} "
+    left = {i: t for i, t in left.items() if not any(f" {w} " in said(t) for w in windows)}
+    some = sorted(set(docs) - toxic)[:3]
+    assert all((brute_hits(docs[i], items)[1] > 0) == any(f" {w} " in said(docs[i]) for w in windows) for i in some)
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    expected = {}
+    for i, text in left.items():
+        runs: list[list[int]] = []
+        for a, _, b in brute_secrets(text):
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = max(b, runs[-1][1])
+            else:
+                runs.append([a, b])
+        for a, b in reversed(runs):
+            text = text[:a] + "[SECRET]" + text[b:]
+        expected[i] = (text, len(text), library.encode(text))
+    got = {r["doc_id"]: (r["text"], r["n_chars"], list(r["token_ids"])) for r in corpus_pipeline.run(spark, SMALL).collect()}
+    assert got == expected and len(got) > 100
