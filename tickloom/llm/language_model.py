@@ -227,13 +227,30 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return gathered.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_tokens(counts: DataFrame) -> tuple[list[bytes], list[int]]:
+    """The tokens above the count that leaves at most FREQUENT of them, and the
+    shortlist, most frequent first.  That count comes from a histogram of a few
+    thousand bins, so no task sorts or receives more than its share."""
+    bins = counts.groupBy(F.floor(F.log2("c") * 64).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least"))
+    above, least = 0, None
+    for r in sorted(bins.collect(), key=lambda r: -r["bin"]):
+        above += r["n"]
+        if above > FREQUENT:
+            break
+        least = r["least"]
+    top = counts.orderBy(F.desc("c"), "word").limit(min(SHORTLIST, FREQUENT)).collect()
+    many = counts.where(F.col("c") >= least).toArrow() if least is not None else counts.limit(0).toArrow()
+    found = dict(zip(many["word"].to_pylist(), many["c"].to_pylist())) | {bytes(r["word"]): r["c"] for r in top}
+    ordered = sorted(found.items(), key=lambda x: (-x[1], x[0]))
+    return [w for w, _ in ordered], [c for _, c in ordered]
+
+
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     """The model and the table of counts of the training texts docs (text)."""
     spark = prepare(docs.sparkSession)
     counts = written(token_counts(docs))
-    frequent = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    words, numbers = [bytes(w) for w in frequent["word"].to_pylist()], frequent["c"].to_pylist()
+    words, numbers = frequent_tokens(counts)
     totals, kinds = np.zeros(SUFFIXES), np.zeros(SUFFIXES)
     model = Model(words, numbers, totals, kinds, whole["n"] or 0, whole["v"])
     of = F.crc32(F.substring("word", -SUFFIX_BYTES, SUFFIX_BYTES)) % SUFFIXES
