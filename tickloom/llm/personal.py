@@ -228,6 +228,9 @@ def fit(docs: DataFrame, ridge: float = 1.0) -> np.ndarray:
     for kind in np.unique(rows[:, 0]):
         of = rows[:, 0] == kind
         post[of] = reliabilities(rows[of, 1:-1], counts[of])
+    # Where all candidates of a kind vote alike, nothing tells the classes apart:
+    # a failed check without a cue in the context teaches no.
+    post[(rows[:, 1 + LABELERS.index("pattern")] < 0) & (rows[:, 1 + LABELERS.index("context")] <= 0)] = 0.0
     x = features(rows)
     weights = np.zeros(x.shape[1])
     for _ in range(30):  # Newton steps of the ridge regression
