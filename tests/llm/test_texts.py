@@ -133,6 +133,34 @@ def test_secrets_are_masked(spark, docs):
     assert secrets.redact(docs(texts)).columns == docs(texts).columns
 
 
+BODY = "\n".join(["MIIEpAIBAAKCAQEA" + "b+/Z" * 12] * 5 + ["Zw=="])
+
+
+@pytest.mark.parametrize("text, masked", [
+    ("é a\n-----BEGIN RSA PRIVATE KEY-----\n" + BODY + "\n-----END RSA PRIVATE KEY-----\nb", "é a\n*\nb"),
+    ("-----BEGIN PRIVATE KEY-----\\n" + BODY.replace("\n", "\\n") + "\\n-----END PRIVATE KEY-----\\n", "*\\n"),
+    ("> -----BEGIN PRIVATE KEY-----\r\n> é\r\n> " + BODY + "\r\n> -----END PRIVATE KEY----- b", "> * b"),
+    ("-----BEGIN PRIVATE KEY-----\n" + BODY + "\n\nThe words after it stay.", "*\n\nThe words after it stay."),
+    ("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n" + BODY, "*"),
+    ("-----BEGIN PRIVATE KEY-----\n" + BODY + "\nsome words\n-----BEGIN PRIVATE KEY-----\n" + BODY + "\n-----END PRIVATE KEY-----", "*\nsome words\n*"),
+    ("the line -----BEGIN PRIVATE KEY----- opens\na key", "the line * opens\na key"),
+    ("no key -----END PRIVATE KEY-----\n" + "word", "no key -----END PRIVATE KEY-----\nword"),
+])
+def test_private_keys_are_masked_to_their_end(text, masked):
+    (spans,) = secrets._scanner(tuple(secrets.RULES))([None, "é before".encode(), text.encode(), b"-----END PRIVATE KEY-----"])
+    assert not (spans[0] or spans[1] or spans[3])
+    for s in reversed(spans[2]):
+        assert s["kind"] == "private_key"
+        text = text[:s["start"]] + "*" + text[s["end"]:]
+    assert text == masked
+
+
+def test_private_keys_leave_nothing_in_the_corpus(spark, docs):
+    key = "-----BEGIN EC PRIVATE KEY-----\n" + BODY + "\n-----END EC PRIVATE KEY-----"
+    got = by_id(secrets.redact(docs([f"ü {key} and token = abcdefgh\n{key}", key]), "*"))
+    assert [got[i]["text"] for i in range(2)] == ["ü * and *\n*", "*"]
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 

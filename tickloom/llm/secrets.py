@@ -4,9 +4,12 @@ The rules' regular expressions are compiled to one automaton: positions and
 jumps (Thompson), subset construction over byte classes, minimisation by
 refining classes of states, and a transition array.  The array reads every
 byte of every line once for all rules; a state that cannot be left marks a
-line that holds a match.  In marked lines the automaton of each rule, built in
-the same way, gives the leftmost longest matches; no rule matches across a
-line end.
+line that holds a match.  Spans come from a second pass over marked lines alone,
+in which the automaton of each rule, built in the same way, gives the leftmost
+longest matches.  These stay inside a line; a match of a rule in ``BLOCKS`` is then
+carried on over line ends: a private key goes up to its END mark, whatever lies
+between, or, where that is missing before the next key or the end of the text,
+over the headers and base64 lines that follow.
 
 Defined results: NULL and empty texts have no spans; every row keeps its own
 result, repeated rows too; other columns pass through, whatever their names.
@@ -14,6 +17,7 @@ result, repeated rows too; other columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -39,6 +43,14 @@ RULES = [
 BASE = ("assign", "access", "hex")
 VALUE = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
 LEAST_VALUE = 6
+# What a match opens, over line ends: the marks that end it, and what it takes without an END.
+# A gap may also be a line end written as \n, a quote or the sign of a quoted line.
+_GAP = rb"(?:[\s\"',;>#|*]|\\[nrt])*+"
+BLOCKS = {"private_key": (
+    re.compile(rb"-----(BEGIN|END) [A-Z ]*PRIVATE KEY-----"),
+    re.compile(rb"(?:" + _GAP + rb"(?:Proc-Type|DEK-Info|Comment|Version): [^\n\\]*+)*+"
+               rb"(?:(?:" + _GAP + rb"[A-Za-z0-9+/=]{16,}+)++"
+               rb"(?:" + _GAP + rb"[A-Za-z0-9+/]{1,15}+={0,2}+(?=[ \t]*+(?:[\r\n\"']|\\[nr]|\Z)))?)?"))}
 FEW = 6  # lines still long enough: below this many, one loop per line is quicker
 
 
@@ -297,6 +309,15 @@ def line_spans(line: bytes, rules) -> list[tuple[int, int, int]]:
     return out
 
 
+def block_end(kind: str, data: bytes, end: int, last: int) -> int:
+    """Where the block that a match up to end opens is over; last is the end of the text."""
+    mark, body = BLOCKS[kind]
+    other = mark.search(data, end, last)
+    if other and other[1] == b"END":
+        return other.end()
+    return body.match(data, end, other.start() if other else last).end()
+
+
 def _value_length(match: bytes) -> int:
     """Length of the value of an assignment: after the key, a quote, spaces,
     one sign, spaces and a quote."""
@@ -330,7 +351,12 @@ def _scanner(rules):
             line = data[at:ends[k]]
             if spans := line_spans(line, single):
                 points = np.concatenate(([0], np.cumsum((byte[at:ends[k]] & 0xC0) != 0x80))) + shift
-                out[d] += [(int(points[a]), k2, int(points[b])) for a, k2, b in spans]
+                for a, k2, b in spans:
+                    to = int(points[b])
+                    if single[k2][0] in BLOCKS:
+                        over = block_end(single[k2][0], data, at + b, int(begins[d] + lengths[d]))
+                        to += int(np.count_nonzero((byte[at + b:over] & 0xC0) != 0x80))
+                    out[d].append((int(points[a]), k2, to))
         return ([[{"kind": single[k][0], "start": a, "end": b} for a, k, b in sorted(spans)] for spans in out],)
 
     return scan
