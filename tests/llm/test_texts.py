@@ -197,6 +197,25 @@ def test_further_personal_data_is_learned_and_masked(spark, docs):
     assert personal.report(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("dot", ["(dot)", " (dot) ", "[dot]", " [dot] ", " dot "])
+@pytest.mark.parametrize("at", ["(at)", " (at) ", "[at]", " [at] ", " at "])
+def test_written_addresses_are_candidates_in_all_forms(at, dot):
+    said = f"john{at}mail{dot}example{dot}com"
+    text = f"é to {said}, soon"
+    base, more = personal.candidates(text)
+    assert not base and [(k, text[a:b]) for k, a, b in more] == [(0, said)]
+    assert personal.votes(text, *more[0], False)[1] == 1  # the gazetteer knows the ending
+    assert personal.candidates(f"{said} at {said}(at)")[1][:1] == [(0, 0, len(said))]
+
+
+def test_written_address_is_found_whatever_else_the_text_holds(spark, docs):
+    forms = ["john at example (dot) com", "john at example[dot]com", "john at example [dot] com"]
+    texts = [f"contact {f} today{more}" for more in ("", " (at) ") for f in forms for _ in range(40)]
+    got = by_id(personal.find(docs(texts), "hits"))
+    spans = [[(s["start"], s["end"]) for s in got[i]["hits"]["spans"]] for i in range(len(texts))]
+    assert spans[:120] == spans[120:] and all(s == [(8, 8 + len(forms[i % 120 // 40]))] for i, s in enumerate(spans))
+
+
 def test_posteriors_follow_reliable_labelers():
     import numpy as np
 

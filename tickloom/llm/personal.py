@@ -42,6 +42,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WRITTEN = re.compile(
     r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{1,63})+")
+LABEL_ENDS = re.compile(r"[. )\]]")  # dots, written out or not
 PLAIN_PHONE = re.compile(r"(?<![0-9+.-])(?:00[1-9][0-9]{0,2}[ .-]?|\([0-9]{2,4}\) ?|0[0-9]{2,4}[ /-]|[0-9]{3}[.-])[0-9]{3,4}[ .-][0-9]{2,4}(?:[ .-]?[0-9]{2,4})?(?![0-9])")
 IDENTITY = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sra")
@@ -112,7 +113,7 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
 def candidates(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and further candidates that touch none of them."""
     base, more = base_spans(text)
-    if "(at)" in text or "[at]" in text or " dot " in text:
+    if "(dot)" in text or "[dot]" in text or " dot " in text:  # a match needs one of them
         more += [(0, *m.span()) for m in WRITTEN.finditer(text)]
     if DIGIT.search(text):
         more += [(3, *m.span()) for m in PLAIN_PHONE.finditer(text)]
@@ -140,7 +141,7 @@ def votes(text: str, kind: int, a: int, b: int, strict: bool) -> tuple[int, ...]
     name, span = KINDS[kind], text[a:b]
     digits = "".join(filter(str.isdigit, span)) if kind in (1, 2, 3, 4) else ""
     if kind == 0:
-        known = span.rstrip(".-").rsplit(".", 1)[-1].rsplit(" ", 1)[-1].lower() in ENDINGS
+        known = LABEL_ENDS.split(span.rstrip(".-"))[-1].lower() in ENDINGS
         shape = len(span.split("@")[0]) <= 64
     elif kind == 1:
         head = span.split(".")[0]
