@@ -55,6 +55,30 @@ def test_toxic_words_are_learned_and_disguises_undone(spark, docs, words):
     assert set(by_id(kept)) == {i for i in got if got[i]["predicted"] == 0}
 
 
+def test_spaced_long_and_doubled_disguises_are_undone(spark, docs, words):
+    texts, labels = toxic_corpus(words)
+    hidden = ["you are a m o r o n", "i d i o t m o r o n", "m  o  r  o  n   i d i o t.", "you id" + "i" * 30 + "o" * 30 + "t", "an iddiot",
+              "m " * 12 + "o r o n", "! d | o t", "mo-ron", "trash-idiot"]
+    clean = [words[3], "a b c", "t a r e", "455 " * 20, "x" * 50_000, "a-b" * 5000, " ".join("tare" * 9)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = by_id(toxicity.report(docs(texts + list(enumerate(hidden + clean, 1000))), table))
+    predicted = {t[:40]: got[1000 + i]["predicted"] for i, t in enumerate(hidden + clean)}
+    assert predicted == {t[:40]: int(t in hidden) for t in hidden + clean}
+    assert got[1001]["words"] == got[1002]["words"] == "idiot moron"
+
+
+def test_known_words_are_not_decoded_and_the_filter_loses_nothing():
+    rnd = random.Random(10)
+    costs = -np.log(np.random.default_rng(3).dirichlet(np.full(toxicity.SYMBOLS, 0.2), (toxicity.SYMBOLS,) * 3) + 1e-6).astype(np.float32)
+    telling = {"lib", "abba", "ass", "b"}
+    every, some = toxicity.Restorer(toxicity.Channel(costs)), toxicity.Restorer(toxicity.Channel(costs), telling, {"abbba"})
+    for _ in range(3000):
+        token = "".join(rnd.choice("aabbls$$68!1-. _") for _ in range(rnd.randint(3, 9)))
+        if toxicity.bare(token) not in some.known:
+            assert telling & set(every[token].split()) == telling & set(some[token].split()), token
+    assert some["abbba"] == "abbba"
+
+
 def test_toxicity_without_labels_or_texts(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r["score"] for r in toxicity.report(docs(["a", None]), none).collect()] == [0.5, 0.5]
