@@ -149,6 +149,14 @@ def test_language_model_counts_and_beats_the_base(spark, docs, monkeypatch, word
         assert sum(r["score"] for r in out) > 0.8 * sum(r["base_score"] for r in out)
 
 
+def test_layout_of_files_plays_no_part_in_the_language_model(spark, docs, words):
+    rnd = random.Random(11)
+    texts = [(i, " ".join(f"{a} {a}x" for a in (rnd.choice(words[:30]) for _ in range(40)))) for i in range(60)]
+    one, many = (by_id(language_model.report(docs(texts).repartition(n))) for n in (1, 12))
+    assert all(one[i]["score"] == pytest.approx(many[i]["score"], abs=0.01) for i in one)
+    assert len(one) == len(many) == 60
+
+
 def test_probabilities_add_up_to_one():
     words = [b"", b"the", *(b"w%d" % i for i in range(300))]
     counts = list(range(400, 400 - len(words), -1))

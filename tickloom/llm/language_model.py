@@ -8,10 +8,13 @@ its products give the scores of all classes.  Inside a class of many words a
 word has the share of its smoothed count, one unseen word included, so that
 the probabilities of all words add up to one.
 
-Training is noise-contrastive, in numpy, over all training texts: each task
-counts the class trigrams of its texts, takes steps against samples of the
-unigram distribution, and the tasks' parameters are averaged by their numbers
-of tokens; ``ROUNDS`` rounds, each from the average of the one before.  Scoring
+Training is noise-contrastive, in numpy, over all training texts: the class
+trigrams of all texts are counted first, and the table of counts is cut by a hash
+into shards of about ``SHARD`` trigrams, so that the layout of the files plays no
+part.  Each shard takes steps against samples of the unigram distribution, and
+the shards' parameters are averaged by their numbers of tokens.  Rounds, each from
+the average of the one before, go on until the loss on all trigrams falls by less
+than ``LEAST_GAIN`` of itself, ``ROUNDS`` at most; the best round counts.  Scoring
 normalises by the whole softmax, whose table over all pairs of classes comes
 from batched matrix products.
 
@@ -45,7 +48,9 @@ FREQUENT = 200_000
 WIDTH = 32  # of the vectors
 NOISE = 64  # samples that a batch of examples shares
 BATCH = 8192
-ROUNDS, EPOCHS, RATE = 2, 2, 0.1
+ROUNDS, EPOCHS, RATE = 8, 2, 0.1
+SHARD = 400_000  # trigrams
+LEAST_GAIN = 0.002
 END = b""  # no word is empty
 
 
@@ -258,14 +263,24 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     for r in shared.groupBy(of.alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
         totals[r["k"]], kinds[r["k"]] = r["c"], r["v"]
     model.network = Network.initial(model.noise)
-    fed = docs.select(F.col("text").cast("binary").alias("text"))
-    for round_ in range(ROUNDS):
-        model.network = _averaged(fed, spark.sparkContext.broadcast(model), round_) or model.network
+    grams = written(gram_counts(docs.select(F.col("text").cast("binary").alias("text")), spark.sparkContext.broadcast(model)))
+    shards = max(1, round(grams.count() / SHARD))
+    network, least = model.network, np.inf
+    for round_ in range(ROUNDS + 1):  # each also tells the loss of the network it starts from
+        new, loss = _averaged(grams, shards, spark.sparkContext.broadcast((network, model.noise)), round_)
+        if new is None:
+            break
+        falls = loss < least * (1 - LEAST_GAIN)
+        if loss < least:
+            model.network, least = network, loss
+        if not falls:
+            break
+        network = new
     return model, counts
 
 
-def _averaged(fed: DataFrame, sent, round_: int) -> Network | None:
-    """The mean of the networks that the tasks have trained, weighted by tokens."""
+def gram_counts(fed: DataFrame, sent) -> DataFrame:
+    """code, n: class trigrams of the texts of fed, at most CLASSES ** 3 rows."""
 
     def start():
         model = sent.value
@@ -281,18 +296,30 @@ def _averaged(fed: DataFrame, sent, round_: int) -> Network | None:
             code = np.flatnonzero(grams) if end else ()
             if not len(code):
                 return None
-            count = grams[code].astype(float)
-            values = model.network.train(code, count, model.noise, 17 + round_).flat()
-            n = count.sum()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values)), pa.int64()), pa.array(values * n), pa.array(np.full(len(values), n))], names=["i", "x", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(grams[code], pa.int64())], names=["code", "n"])
 
         return take, give
 
-    gathered = aggregated_in_tasks(fed, "i long, x double, n double", start)
-    # As many rows as the network has parameters; rounded, so that the order of the sums does not show.
-    means = gathered.groupBy("i").agg(F.round(F.sum("x") / F.sum("n"), 5).alias("x")).orderBy("i").toArrow()["x"].to_numpy()
-    return Network.of_flat(means) if len(means) else None
+    return aggregated_in_tasks(fed, "code long, n long", start).groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def _averaged(grams: DataFrame, shards: int, sent, round_: int) -> tuple[Network | None, float]:
+    """The mean of the networks that the shards have trained, weighted by tokens;
+    the mean loss of the network they start from, over all tokens."""
+
+    def train(table: pa.Table) -> pa.Table:
+        network, noise = sent.value
+        code, count = table["code"].to_numpy(), table["n"].to_numpy().astype(float)
+        order = np.argsort(code)
+        code, count = code[order], count[order]
+        values = np.append(network.train(code, count, noise, 17 + round_).flat(), -float(count @ network.log_table()[code]) / count.sum())
+        n = count.sum()
+        return pa.table({"i": np.arange(len(values)), "x": values * n, "n": np.full(len(values), n)})
+
+    trained = grams.withColumn("shard", F.pmod(F.xxhash64("code"), F.lit(shards))).groupBy("shard").applyInArrow(train, "i long, x double, n double")
+    # As many rows as the network has parameters, and the loss; rounded, so that the order of the sums does not show.
+    means = trained.groupBy("i").agg(F.round(F.sum("x") / F.sum("n"), 5).alias("x")).orderBy("i").toArrow()["x"].to_numpy()
+    return (Network.of_flat(means[:-1]), float(means[-1])) if len(means) else (None, 0.0)
 
 
 READ = T.StructType([
