@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tickloom.llm import chat, decontaminate, language_model, minhash, personal, pieces, quality_classifier, quality_rules, secrets, toxicity
+from tickloom.llm import chat, decontaminate, language_model, merkle, minhash, personal, pieces, quality_classifier, quality_rules, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +25,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": lambda s, d: language_model.report(table(s, d, "documents")),
     "op9_toxicity": lambda s, d: toxicity.report(table(s, d, "documents"), table(s, d, "labels")),
     "op10_secret_scan": lambda s, d: secrets.report(table(s, d, "documents")),
+    "op11_merkle_manifest": lambda s, d: merkle.report(table(s, d, "documents")),
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op6_chat_formatting": chat.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
