@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tickloom.llm import chat, decontaminate, language_model, merkle, minhash, personal, pieces, quality_classifier, quality_rules, secrets, toxicity, whitening
+from tickloom.llm import chat, decontaminate, language_model, merkle, minhash, personal, pieces, quality_classifier, quality_rules, secrets, token_groups, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": lambda s, d: secrets.report(table(s, d, "documents")),
     "op11_merkle_manifest": lambda s, d: merkle.report(table(s, d, "documents")),
     "op12_embedding_whitening": lambda s, d: whitening.report(table(s, d, "embeddings")),
+    "op13_token_group_join": lambda s, d: token_groups.joined(table(s, d, "documents")),
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
