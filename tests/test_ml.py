@@ -107,6 +107,39 @@ def test_probes_find_most_of_a_larger_table_with_few_pairs(spark):
             neighbours.EXACT_QUERIES = old
 
 
+@pytest.mark.parametrize("probes", [1, 3])
+def test_index_rows_sent_are_bounded_by_the_visits(spark, probes):
+    """At two sizes: no more than probes x queries + rows, however many query blocks there are."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(10, 8))
+    for n in (600, 2400):
+        # Two thirds of the rows crowd around one point.
+        data = [(i, [float(x) for x in centres[i % 10 if i % 3 == 0 else 0] + 0.3 * rng.normal(size=8)], 0) for i in range(n)]
+        df = spark.createDataFrame(data, "key long, embedding array<double>, label int")
+        cells = neighbours.build_cells(df, "key", "embedding", pivots=8, block=64)
+        assert cells.children and len(cells.pivots) > n / 64 / 2
+        asked, sent, _ = neighbours.sides(df, df, cells, 5, "key", "embedding", "label", {}, probes, 64)
+        assert cells.size.sum() == n and cells.size.max() < n / 4
+        rows_per_cell = {r["cell"]: r["n"] for r in sent.select("cell", "neighbour").distinct().groupBy("cell").agg(F.count("*").alias("n")).collect()}
+        assert sum(rows_per_cell.values()) <= n
+        split = -(-cells.size.max() // 64)
+        assert sent.count() <= split * (probes * n + n) and asked.count() <= split * probes * n
+        assert sent.groupBy("cell", "block", "query_block").count().agg(F.max("count")).first()[0] <= 128
+
+
+def test_two_levels_of_pivots_lose_nothing(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, [float(x) for x in (rng.normal(size=5) * 0.2 + (3 if i % 3 else 0))], int(i % 4), "p", "x") for i in range(200)]
+    data += [(1000 + i, data[0][1], 1, "q", "y") for i in range(60)]  # copies, which no pivot splits
+    df = spark.createDataFrame(data, "key long, embedding array<double>, label int, priority string, status string")
+    got = neighbours.nearest(df, df, k=7, pivots=3, block=20)
+    expected = brute_force(data, 7, {})
+    found = {}
+    for q, n, score, label in rows(got):
+        found.setdefault(q, []).append((-score, n))
+    assert {q: [n for _, n in sorted(v)] for q, v in found.items()} == {q: [n for _, n in v] for q, v in expected.items()}
+
+
 def test_vote(spark):
     df = spark.createDataFrame([(1, 10, 0.9, "a"), (1, 11, 0.5, "b"), (1, 12, 0.4, "b"), (2, 13, 0.3, "c")],
                                "query int, neighbour int, score double, label string")

@@ -1,20 +1,29 @@
 """Nearest neighbours, approximate or exact, and a weighted vote.
 
-Index vectors are grouped around pivots, about as many as the square root of
-their number.  With ``probes`` a query visits that many cells, the ones whose
-pivots are nearest: the pairs that are scored grow with the power 1.5 of the
-table, and ``recall`` says what the search finds.  Without, it visits every
-cell that can hold one of its k best neighbours: the triangle inequality bounds
-the similarity inside a cell from its pivot and radius, so nothing that counts
-is left out.  In many dimensions that bound excludes little, so the exact form
-is for a bounded batch of queries and raises above ``EXACT_QUERIES``.  Cells are
-cut into blocks, queries as well, so no task takes a whole cell; a task
-multiplies two bounded blocks and hands on the k best per query.
+The index is an inverted file: vectors lie in cells around pivots, about as many
+as the square root of their number.  A cell with more than ``block`` rows gets
+pivots of its own, chosen among its rows and as many as it has blocks, so that
+cells stay balanced where vectors crowd together, and where the table outgrows
+``MOST_PIVOTS``.  With ``probes`` a query visits that many cells, the ones
+whose pivots are nearest, and ``recall`` says what the search finds.  Without, it
+visits every cell that can hold one of its k best neighbours: the triangle
+inequality bounds the similarity inside a cell from its pivot and radius, so
+nothing that counts is left out.  In many dimensions that bound excludes little,
+so the exact form is for a bounded batch of queries and raises above
+``EXACT_QUERIES``.
+
+Visits are grouped by cell first and cut into blocks of ``block`` queries there.
+An index row is sent once to each block of visits of its cell, a query once to
+each block of rows of the cells it visits.  With cells of at most a block that is
+(visits + rows) index rows in all, where visits = probes x queries; no term grows
+with the square of the table.  Copies of one vector cannot be told apart by
+pivots; their cell is cut into blocks of rows instead.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -23,9 +32,12 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import fixed_values as fv
 from tickloom.operators.windows import first_n
+from tickloom.session import checkpoint_dir
+from tickloom.sources.tables import write_table
 
 DIGITS = 6
 MOST_PIVOTS = 4096
+PIVOT_BYTES = 256 << 20  # of all pivots of the second level, as doubles
 EXACT_QUERIES = 100_000
 CHUNK = 512  # vectors whose distances to all pivots are held at a time
 
@@ -40,80 +52,137 @@ def _distances(m: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (m @ pivots.T), 0.0))
 
 
-def nearest(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: str = "key",
-            vector: str = "embedding", label: str = "label", boosts: dict[str, float] | None = None,
-            pivots: int | None = None, block: int = 4096, probes: int | None = None) -> DataFrame:
-    """ML-15a: the ``k`` best index rows per query by cosine plus metadata boosts.
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, computed once."""
+    return write_table(df, f"{checkpoint_dir(df.sparkSession)}/scratch/{name}-{uuid.uuid4().hex}")
+
+
+class Cells:
+    """Pivots of one or two levels, radius and number of rows of every cell."""
+
+    def __init__(self, first: np.ndarray) -> None:
+        self.first = self.pivots = first
+        self.children: dict[int, np.ndarray] = {}
+        self.radius, self.size = np.zeros(len(first)), np.zeros(len(first), "int64")
+
+    def split(self, cell: np.ndarray, vectors: np.ndarray) -> None:
+        """Add second-level pivots below their first-level cells."""
+        for c in np.unique(cell):
+            own = len(self.pivots) + np.arange((cell == c).sum())
+            self.pivots = np.concatenate([self.pivots, vectors[cell == c]])
+            self.children[int(c)] = np.concatenate([[c], own])
+
+    def place(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cell of each vector, and distance from its pivot."""
+        d = _distances(m, self.first)
+        cell, dist = d.argmin(axis=1), d.min(axis=1)
+        for c in np.intersect1d(cell, list(self.children)):
+            at = np.flatnonzero(cell == c)
+            d = _distances(m[at], self.pivots[self.children[int(c)]])
+            cell[at], dist[at] = self.children[int(c)][d.argmin(axis=1)], d.min(axis=1)
+        return cell, dist
+
+    def nearest(self, m: np.ndarray, probes: int) -> list[np.ndarray]:
+        """The cells with the nearest pivots, of those that hold rows."""
+        d = np.where(self.size > 0, _distances(m, self.pivots), np.inf)
+        count = min(probes, int((self.size > 0).sum()))
+        return list(np.argsort(d, axis=1, kind="stable")[:, :count].astype("int32"))
+
+    def possible(self, m: np.ndarray, k: int, boost: float) -> list[np.ndarray]:
+        """All cells that can hold one of the k best, whatever the boosts are."""
+        d = _distances(m, self.pivots)
+        far = d + self.radius
+        order = np.argsort(far, axis=1)
+        # The query itself may be in the index, hence more than k.
+        enough = np.cumsum(self.size[order], axis=1) > k
+        place_k = np.where(enough.any(axis=1), enough.argmax(axis=1), len(self.pivots) - 1)
+        reach = np.take_along_axis(np.take_along_axis(far, order, 1), place_k[:, None], 1)
+        floor = np.where(enough.any(axis=1)[:, None], 1.0 - reach**2 / 2.0, -np.inf)
+        best = 1.0 - np.maximum(d - self.radius, 0.0) ** 2 / 2.0 + boost
+        # The slack covers the rounding of both scores.
+        visit = (best >= floor - 2 * 10.0**-DIGITS) & (self.size > 0)
+        return [np.flatnonzero(r).astype("int32") for r in visit]
+
+
+def _chunks(v: pd.Series):
+    for start in range(0, len(v), CHUNK):
+        yield _unit(v.iloc[start:start + CHUNK])
 
-    A boost is added when the column is equal on both sides.  A query is not
-    its own neighbour.  Scores are rounded to six digits; ties go to the
-    smaller key.
-    """
-    boosts = dict(boosts or {})
-    P = pivot_vectors(index, key, vector, pivots)
-    n_queries = queries.count()
-    if probes is None and n_queries > EXACT_QUERIES:
-        raise ValueError(f"exact search takes up to {EXACT_QUERIES} queries; pass probes, or a smaller batch")
-    query_blocks = max(1, math.ceil(n_queries / block))
 
+def _placed(index: DataFrame, cells: Cells, vector: str) -> DataFrame:
     @F.pandas_udf("cell int, dist double")
     def place(v: pd.Series) -> pd.DataFrame:
-        cells, dists = [], []
-        for start in range(0, len(v), CHUNK):
-            d = _distances(_unit(v.iloc[start:start + CHUNK]), P)
-            cells.append(d.argmin(axis=1))
-            dists.append(d.min(axis=1))
-        return pd.DataFrame({"cell": np.concatenate(cells).astype("int32"), "dist": np.concatenate(dists)})
+        parts = [cells.place(m) for m in _chunks(v)]
+        return pd.DataFrame({"cell": np.concatenate([p[0] for p in parts]).astype("int32"), "dist": np.concatenate([p[1] for p in parts])})
 
+    return index.withColumn("_p", place(F.col(vector)))
+
+
+def build_cells(index: DataFrame, key: str, vector: str, pivots: int | None = None, block: int = 4096) -> Cells:
+    """The cells of an index: rows chosen by hash as pivots, and more of them in large cells."""
+    cells = Cells(pivot_vectors(index, key, vector, pivots))
+    sizes = {r["cell"]: r["n"] for r in _placed(index, cells, vector).groupBy("_p.cell").agg(F.count("*").alias("n")).collect()}
+    large = {c: n for c, n in sizes.items() if n > block}
+    if large:
+        # A row becomes a pivot by chance; the expected number is one a block, and bounded as a whole.
+        most = PIVOT_BYTES // (8 * cells.first.shape[1])
+        share = min(1.0, most / sum(2 * n / block for n in large.values()))
+        table = index.sparkSession.createDataFrame([(c, min(1.0, 2 * share / block)) for c in large], "cell int, share double")
+        chance = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        chosen = _placed(index, cells, vector).select(F.col("_p.cell").alias("cell"), F.col(vector).alias("v"), chance.alias("chance")).join(
+            table, "cell").filter("chance < share").select("cell", "v").distinct().orderBy("cell", "v").collect()
+        if chosen:
+            cells.split(np.array([r["cell"] for r in chosen]), _unit([r["v"] for r in chosen]))
+    return cells
+
+
+def sides(queries: DataFrame, index: DataFrame, cells: Cells, k: int, key: str, vector: str, label: str,
+          boosts: dict[str, float], probes: int | None, block: int) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """Queries and index rows by (cell, block, query_block), what a task compares; names of boost columns of the index."""
     # Queries and index may be the same table: the index side gets names of its own.
     theirs = {b: f"_index_{b}" for b in boosts}
-    rows = index.select(
+    rows = _once(_placed(index, cells, vector).select(
         F.col(key).alias("neighbour"), F.col(vector).alias("_w"), F.col(label).alias("label"),
-        *[F.col(b).alias(other) for b, other in theirs.items()],
-        place(F.col(vector)).alias("_p"),
-    )
-    # One row per pivot.
-    stats = {r["cell"]: r for r in rows.groupBy("_p.cell").agg(
-        F.max("_p.dist").alias("radius"), F.count("*").alias("n")).collect()}
-    radius = np.array([stats[c]["radius"] if c in stats else 0.0 for c in range(len(P))])
-    size = np.array([stats[c]["n"] if c in stats else 0 for c in range(len(P))])
-    blocks = np.maximum(1, np.ceil(size / block)).astype("int64")
+        *[F.col(b).alias(other) for b, other in theirs.items()], "_p"), "placed")
+    cells.radius, cells.size = np.zeros(len(cells.pivots)), np.zeros(len(cells.pivots), "int64")
+    for r in rows.groupBy("_p.cell").agg(F.max("_p.dist").alias("radius"), F.count("*").alias("n")).collect():
+        cells.radius[r["cell"]], cells.size[r["cell"]] = r["radius"], r["n"]
     most = sum(boosts.values())
 
     @F.pandas_udf("array<int>")
-    def cells_to_visit(v: pd.Series) -> pd.Series:
-        return pd.Series([x for start in range(0, len(v), CHUNK) for x in visits_of(_distances(_unit(v.iloc[start:start + CHUNK]), P))])
-
-    def visits_of(d: np.ndarray) -> list[np.ndarray]:
-        if probes is not None:
-            nearest_cells = np.argsort(np.where(size > 0, d, np.inf), axis=1, kind="stable")[:, :min(probes, int((size > 0).sum()))]
-            return list(nearest_cells.astype("int32"))
-        far = d + radius
-        order = np.argsort(far, axis=1)
-        # The query itself may be in the index, hence more than k.
-        enough = np.cumsum(size[order], axis=1) > k
-        place_k = np.where(enough.any(axis=1), enough.argmax(axis=1), len(P) - 1)
-        reach = np.take_along_axis(np.take_along_axis(far, order, 1), place_k[:, None], 1)
-        floor = np.where(enough.any(axis=1)[:, None], 1.0 - reach**2 / 2.0, -np.inf)
-        best = 1.0 - np.maximum(d - radius, 0.0) ** 2 / 2.0 + most
-        # The slack covers the rounding of both scores.
-        visit = (best >= floor - 2 * 10.0**-DIGITS) & (size > 0)
-        return [np.flatnonzero(r).astype("int32") for r in visit]
+    def to_visit(v: pd.Series) -> pd.Series:
+        return pd.Series([x for m in _chunks(v) for x in (cells.possible(m, k, most) if probes is None else cells.nearest(m, probes))])
 
-    block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
-    visits = queries.select(
-        F.col(key).alias("query"), F.col(vector).alias("_v"), *[F.col(b).alias(b) for b in boosts],
-        F.pmod(F.xxhash64(key), F.lit(query_blocks)).cast("int").alias("query_block"),
-        F.explode(cells_to_visit(F.col(vector))).alias("cell"),
-    )
-    query_side = visits.select("*", F.explode(F.sequence(F.lit(0), (block_of - 1).cast("int"))).alias("block"))
-    # Index rows go only where a query block visits their cell.
-    visited = visits.select("cell", "query_block").distinct().select(
-        F.col("cell").alias("cell"), F.col("query_block").alias("query_block")
-    )
-    index_side = rows.select("neighbour", "_w", "label", *theirs.values(), F.col("_p.cell").alias("cell")).select(
-        "*", F.pmod(F.xxhash64("neighbour"), block_of).cast("int").alias("block")
-    ).join(visited, "cell")
+    asked = _once(queries.select(
+        F.col(key).alias("query"), F.col(vector).alias("_v"), *boosts, to_visit(F.col(vector)).alias("cells")), "asked")
+    blocks_of = lambda n: F.greatest(F.lit(1), F.ceil(n / block)).cast("int")
+    # A row a cell.
+    visits = asked.select(F.explode("cells").alias("cell")).groupBy("cell").agg(blocks_of(F.count("*")).alias("query_blocks"))
+    blocks = rows.groupBy(F.col("_p.cell").alias("cell")).agg(blocks_of(F.count("*")).alias("blocks"))
+    plan = visits.join(blocks, "cell")
+    some = lambda name, many: F.pmod(F.xxhash64(name), F.col(many)).cast("int")
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    query_side = asked.select("query", "_v", *boosts, F.explode("cells").alias("cell")).join(plan, "cell").select(
+        "query", "_v", *boosts, "cell", some("query", "query_blocks").alias("query_block"), every("blocks").alias("block"))
+    index_side = rows.select("neighbour", "_w", "label", *theirs.values(), F.col("_p.cell").alias("cell")).join(plan, "cell").select(
+        "neighbour", "_w", "label", *theirs.values(), "cell", some("neighbour", "blocks").alias("block"), every("query_blocks").alias("query_block"))
+    return query_side, index_side, theirs
+
+
+def nearest(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key: str = "key",
+            vector: str = "embedding", label: str = "label", boosts: dict[str, float] | None = None,
+            pivots: int | None = None, block: int = 4096, probes: int | None = None) -> DataFrame:
+    """ML-15a: the ``k`` best index rows per query by cosine plus metadata boosts.
+
+    A boost is added when the column is equal on both sides.  A query is not
+    its own neighbour.  Scores are rounded to six digits; ties go to the
+    smaller key.
+    """
+    boosts = dict(boosts or {})
+    if probes is None and queries.count() > EXACT_QUERIES:
+        raise ValueError(f"exact search takes up to {EXACT_QUERIES} queries; pass probes, or a smaller batch")
+    cells = build_cells(index, key, vector, pivots, block)
+    query_side, index_side, theirs = sides(queries, index, cells, k, key, vector, label, boosts, probes, block)
 
     def best_of_block(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if q.empty or x.empty:
@@ -168,7 +237,7 @@ def probes_for(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key
     """Probes that find the share ``target`` of the exact neighbours of a bounded
     sample of queries: few where vectors lie in groups, most cells where they
     are spread evenly, as no index helps there."""
-    P = pivot_vectors(index, key, vector)
+    cells = build_cells(index, key, vector)
     some = queries.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit("#"))), key).limit(sample)
     exact = nearest(some, index, k, key, vector, label, boosts)
     pairs = exact.select("query", "neighbour").join(
@@ -176,8 +245,8 @@ def probes_for(queries: DataFrame, index: DataFrame, k: int = fv.NEIGHBOURS, key
         queries.select(F.col(key).alias("query"), F.col(vector).alias("_v")), "query").select("_v", "_w").collect()
     if not pairs:
         return 1
-    cell = _distances(_unit([r["_w"] for r in pairs]), P).argmin(axis=1)
-    order = np.argsort(_distances(_unit([r["_v"] for r in pairs]), P), axis=1, kind="stable")
+    cell, _ = cells.place(_unit([r["_w"] for r in pairs]))
+    order = np.argsort(_distances(_unit([r["_v"] for r in pairs]), cells.pivots), axis=1, kind="stable")
     place = (order == cell[:, None]).argmax(axis=1)
     return int(np.quantile(place, target, method="higher")) + 1
 

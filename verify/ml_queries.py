@@ -305,7 +305,7 @@ def _described(m: Models) -> DataFrame:
     orders = m.table("orders").select(
         c("o_orderkey").alias("vec_id"), c("o_orderpriority").alias("priority"), c("o_orderstatus").alias("status"),
         c("o_custkey").alias("reporter"))
-    return m.table("embeddings").join(orders, "vec_id")
+    return m.table("embeddings").join(orders, "vec_id", "left")
 
 
 def _ml15_nearest(m: Models) -> DataFrame:
@@ -328,12 +328,12 @@ NEAREST = """SELECT a.vec_id AS query, b.vec_id AS neighbour, b.label,
       + CASE WHEN a.o_orderpriority = b.o_orderpriority THEN 0.10 ELSE 0 END
       + CASE WHEN a.o_orderstatus = b.o_orderstatus THEN 0.08 ELSE 0 END
       + CASE WHEN a.o_custkey = b.o_custkey THEN 0.05 ELSE 0 END, 6) AS score
-    FROM (SELECT * FROM embeddings JOIN orders ON vec_id = o_orderkey) a JOIN (SELECT * FROM embeddings JOIN orders ON vec_id = o_orderkey) b
+    FROM (SELECT * FROM embeddings LEFT JOIN orders ON vec_id = o_orderkey) a JOIN (SELECT * FROM embeddings LEFT JOIN orders ON vec_id = o_orderkey) b
       ON a.vec_id <> b.vec_id AND a.vec_id % 20 = 0
     QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY score DESC, b.vec_id) <= 15"""
 register("ml15_nearest", _ml15_nearest, NEAREST)
 register("ml15_recall", _ml15_recall, """SELECT 15 * count(*)::BIGINT AS n, true AS enough
-    FROM embeddings JOIN orders ON vec_id = o_orderkey WHERE vec_id % 20 = 0""")
+    FROM embeddings WHERE vec_id % 20 = 0""")
 register("ml15_knn_vote", lambda m: neighbours.vote(_ml15_nearest(m)), f"""
     SELECT query, label AS prediction, round(weight / total, 4) AS confidence FROM (
       SELECT query, label, sum(score) AS weight, sum(sum(score)) OVER (PARTITION BY query) AS total FROM ({NEAREST}) GROUP BY query, label)
