@@ -50,6 +50,64 @@ def test_land_raw_writes_good_and_rejected_rows_once(spark, tmp_path):
     assert "EqualTo(field_norm,STATUS)" in plan and "csv" not in plan
 
 
+@pytest.mark.parametrize("count", [40, 400])
+def test_headers_of_many_files_take_one_job(spark, tmp_path, count):
+    for i in range(count):
+        head, row = ("key,author", f"K{i},a{i}") if i % 2 else ("author,\"odd, name\",key", f"a{i},x,K{i}")
+        write(tmp_path, f"{head}\n" + f"{row}\n" * 3, f"part {i:03d} 100%.csv")
+    write(tmp_path, "", "empty.csv")
+    sc = spark.sparkContext
+    sc.setJobGroup(f"headers{count}", "")
+    groups = delimited.files_by_header(spark, str(tmp_path))
+    jobs = sc.statusTracker().getJobIdsForGroup(f"headers{count}")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert {h: len(f) for h, f in groups.items()} == {("author", "odd, name", "key"): count // 2, ("key", "author"): count // 2}
+    # The read and its aggregate, and one for each header; the number of files plays no part.
+    assert len(jobs) <= 6
+    df = delimited.read_csv_table(spark, str(tmp_path), ["key", "author"])
+    assert df.count() == 3 * count and df.filter("substr(key, 2) <> substr(author, 2)").count() == 0
+
+
+def test_first_lines_read_no_further_than_a_buffer(spark, tmp_path):
+    write(tmp_path, "\n\nkey,text\n" + "k,0123456789\n" * 2_000_000)
+    files = delimited.files_by_header(spark, str(tmp_path))
+    assert list(files) == [("key", "text")]
+
+
+def test_landing_counts_rows_and_emptied_values_by_file(spark, tmp_path):
+    head = "created,key,author,field,fromString,toString\n"
+    write(tmp_path, head + "nan,K1,ann,Status,None,b\nshort\n2020,K2,None,Status,None,c\n", "a.csv")
+    write(tmp_path, head + "one,two\nthree\n2020,K3,,Status,x,\n", "b.csv")
+    landing = delimited.land_counted(spark, str(tmp_path / "*.csv"), fv.CHANGELOG_COLUMNS, str(tmp_path / "raw"), multi_line=True)
+    name = F.element_at(F.split("file", "/"), -1).alias("file")
+    assert rows(landing.files().select(name, "loaded", "rejected"), "file") == [("a.csv", 2, 1), ("b.csv", 1, 2)]
+    assert rows(landing.nulled().select(name, "column_name", "nulled"), "file", "column_name") == [
+        ("a.csv", "author", 1), ("a.csv", "created", 1), ("a.csv", "fromstring", 2)]
+    assert {k: v for k, v in landing.totals.items() if v} == {
+        "loaded": 3, "rejected": 3, "nulled": 4, "nulled.author": 1, "nulled.created": 1, "nulled.fromstring": 2}
+    plan = landing.files()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<_bad:string,_file:string>" in plan
+
+
+def test_replacing_a_table_leaves_open_readers_and_failed_writes_alone(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(ValueError, match="no table"):
+        tables.read_table(spark, path)
+    tables.write_table(spark.range(3), path)
+    opened = tables.read_table(spark, path)
+    tables.write_table(spark.range(10, 12), path)
+    assert rows(opened, "id") == [(0,), (1,), (2,)]
+    assert rows(tables.read_table(spark, path), "id") == [(10,), (11,)]
+    with pytest.raises(Exception):
+        tables.write_table(spark.range(5).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert rows(tables.read_table(spark, path), "id") == [(10,), (11,)]
+    # A table can be computed from itself.
+    tables.write_table(tables.read_table(spark, path).select((F.col("id") + 1).alias("id")), path)
+    assert rows(tables.read_table(spark, path), "id") == [(11,), (12,)]
+    assert tables.drop_old_versions(spark, path) == 2 and len(tables.versions(spark, path)) == 1
+    assert rows(tables.read_table(spark, path), "id") == [(11,), (12,)]
+
+
 def test_null_tokens(spark):
     df = spark.createDataFrame([("nan", 1, ""), ("None", 2, "none"), ("ok", 3, None)], "`a.b` string, n int, c string")
     assert rows(delimited.null_tokens(df), "n") == [(None, 1, None), (None, 2, None), ("ok", 3, None)]

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import fixed_values as fv
 from tickloom.sources.tables import write_table
 
-BAD = "_bad"
+BAD, FILE, NULLED = "_bad", "_file", "_nulled"
 
 
 def strings(names: list[str]) -> T.StructType:
@@ -24,24 +28,51 @@ def _reader(spark: SparkSession, multi_line: bool):
     )
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a file; only its first line is read."""
-    return spark.read.options(header=True, quote='"', escape='"').csv(path).columns
+def header_of(spark: SparkSession, line: str) -> list[str]:
+    """Column names in a header line."""
+    return spark.read.options(header=True, sep=",", quote='"', escape='"').csv(spark.sparkContext.parallelize([line], 1)).columns
+
+
+# So large that every file is one split, and every split a task.
+ONE_FILE_A_TASK = {"spark.sql.files.maxPartitionBytes": str(1 << 42), "spark.sql.files.openCostInBytes": str(1 << 42),
+                   "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+
+
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """line, files: the first line with text of every file, and the files that begin with it.
+
+    One job, with a task a file.  A task stops after that line, so of a file no
+    more than a read buffer is fetched; files without any line are left out.
+    """
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, line in enumerate(batch.column(0).to_pylist()):
+                if line.strip():
+                    yield batch.slice(i, 1)
+                    return
+
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return lines.mapInArrow(first, lines.schema).groupBy(F.col("value").alias("line")).agg(F.sort_array(F.collect_list("file")).alias("files"))
 
 
 def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a folder or pattern by their column names, in the order of the
-    names of the files.  Listing reads no content, and of each file only its
-    first line is read."""
-    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()]
+    """Files of a folder or pattern by their column names, in the order of the names of the files."""
+    before = {name: spark.conf.get(name) for name in ONE_FILE_A_TASK}
+    try:
+        for name, value in ONE_FILE_A_TASK.items():
+            spark.conf.set(name, value)
+        found = first_lines(spark, path).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        groups.setdefault(tuple(header_of(spark, file)), []).append(file)
-    return groups
+    for row in found:
+        groups.setdefault(tuple(header_of(spark, row["line"])), []).extend(map(unquote, row["files"]))
+    return dict(sorted(((header, sorted(files)) for header, files in groups.items()), key=lambda g: g[1][0]))
 
 
 def _rows(spark: SparkSession, path: str, names: list[str] | None, multi_line: bool, options: dict[str, str],
-          more: list[str]) -> DataFrame:
+          more: list[str], file_as: str | None = None) -> DataFrame:
     """Columns by name: files may order them differently, one that lacks a name raises."""
     groups = files_by_header(spark, path)
     if not groups:
@@ -53,7 +84,8 @@ def _rows(spark: SparkSession, path: str, names: list[str] | None, multi_line: b
         if missing:
             raise ValueError(f"missing columns: {', '.join(missing)} in {files[0]}")
         read = _reader(spark, multi_line).options(enforceSchema=False, **options).schema(strings([*header, *more])).csv(files)
-        parts.append(read.select(*[F.col(f"`{n}`") for n in [*names, *more]]))
+        file = [F.col("_metadata.file_path").alias(file_as)] if file_as else []
+        parts.append(read.select(*[F.col(f"`{n}`") for n in [*names, *more]], *file))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -87,11 +119,12 @@ def read_tolerant(spark: SparkSession, path: str, names: list[str] | None = None
     )
 
 
-def with_rejected(spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = True) -> DataFrame:
-    """All rows; a rejected one has its text in ``_bad``, a good one NULL."""
+def with_rejected(spark: SparkSession, path: str, names: list[str] | None = None, multi_line: bool = True,
+                  file_as: str | None = None) -> DataFrame:
+    """All rows; a rejected one has its text in ``_bad``, a good one NULL.  ``file_as`` names a column for the file."""
     # Without pruning: a parser that skips columns does not see that a row is short.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "columnPruning": "false"}
-    return _rows(spark, path, names, multi_line, options, [BAD])
+    return _rows(spark, path, names, multi_line, options, [BAD], file_as)
 
 
 def null_tokens(df: DataFrame, tokens: list[str] = fv.NULL_TOKENS) -> DataFrame:
@@ -116,20 +149,62 @@ def land(df: DataFrame, contract: dict[str, str], tokens: list[str] = fv.NULL_TO
     return with_field_norm(null_tokens(select_contract(df, contract), tokens))
 
 
-def land_raw(spark: SparkSession, path: str, contract: dict[str, str], target: str, multi_line: bool,
-             tokens: list[str] = fv.NULL_TOKENS) -> tuple[DataFrame, DataFrame]:
-    """SRC-08: the raw table, written once as Parquet, and its rejected rows.
+@dataclass
+class Landing:
+    """A landed table: its rows by fate, and what the pass that wrote it has counted."""
+
+    table: DataFrame
+    totals: dict[str, int]
+
+    @property
+    def good(self) -> DataFrame:
+        return self.table.filter(F.col(BAD).isNull()).drop(BAD, FILE, NULLED)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.table.filter(F.col(BAD).isNotNull()).select(BAD)
+
+    def files(self) -> DataFrame:
+        """file, loaded, rejected: rows of each file, from two narrow columns of the landed table."""
+        return self.table.groupBy(F.col(FILE).alias("file")).agg(
+            F.count_if(F.col(BAD).isNull()).alias("loaded"), F.count_if(F.col(BAD).isNotNull()).alias("rejected"))
+
+    def nulled(self) -> DataFrame:
+        """file, column_name, nulled: loaded values that a null token has turned into NULL."""
+        return self.table.filter(F.col(BAD).isNull()).select(F.col(FILE).alias("file"), F.explode(NULLED).alias("column_name")).groupBy(
+            "file", "column_name").agg(F.count("*").alias("nulled"))
+
+
+def land_counted(spark: SparkSession, path: str, contract: dict[str, str], target: str, multi_line: bool,
+                 tokens: list[str] = fv.NULL_TOKENS) -> Landing:
+    """SRC-08 with the accounting of SRC-04 and SRC-05.
 
     The text files are parsed once: rejected rows lie in the same table with
-    their text.  Changes are sorted by ``field_norm`` inside each file, so that
-    filters on it skip most row groups.  ``multi_line`` has no default, for it
-    decides whether a file can be split (see :func:`read_csv_table`).
+    their text, every row with its file and the names of the columns that a null
+    token has emptied.  ``totals`` (loaded, rejected, nulled, and nulled by
+    column) are observed while the rows are written.  Changes are sorted by
+    ``field_norm`` inside each file, so that filters on it skip most row groups.
+    ``multi_line`` has no default, for it decides whether a file can be split
+    (see :func:`read_csv_table`).
     """
-    rows = with_rejected(spark, path, list(contract), multi_line)
-    landed = with_field_norm(null_tokens(rows.select(
-        *[F.col(f"`{n}`").alias(new) for n, new in contract.items()], BAD), tokens))
-    table = write_table(landed, target, sort_by="field_norm" if "field_norm" in landed.columns else None)
-    return table.filter(F.col(BAD).isNull()).drop(BAD), table.filter(F.col(BAD).isNotNull()).select(BAD)
+    rows = with_rejected(spark, path, list(contract), multi_line, FILE).select(
+        *[F.col(f"`{n}`").alias(new) for n, new in contract.items()], BAD, FILE)
+    good = F.col(BAD).isNull()
+    emptied = F.array_compact(F.array(*[F.when(F.col(f"`{new}`").isin(tokens), F.lit(new)) for new in contract.values()]))
+    landed = rows.withColumn(NULLED, F.when(good, emptied)).withColumns({
+        new: F.when(~F.col(f"`{new}`").isin(tokens), F.col(f"`{new}`")) for new in contract.values()})
+    seen = Observation()
+    counted = with_field_norm(landed).observe(
+        seen, F.count_if(good).alias("loaded"), F.count_if(~good).alias("rejected"), F.coalesce(F.sum(F.size(NULLED)), F.lit(0)).alias("nulled"),
+        *[F.count_if(F.array_contains(NULLED, new)).alias(f"nulled.{new}") for new in contract.values()])
+    return Landing(write_table(counted, target, sort_by="field_norm" if "field_norm" in counted.columns else None), seen.get)
+
+
+def land_raw(spark: SparkSession, path: str, contract: dict[str, str], target: str, multi_line: bool,
+             tokens: list[str] = fv.NULL_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """SRC-08: the raw table, written once as Parquet, and its rejected rows."""
+    landing = land_counted(spark, path, contract, target, multi_line, tokens)
+    return landing.good, landing.rejected
 
 
 def with_field_norm(raw: DataFrame) -> DataFrame:
