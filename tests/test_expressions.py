@@ -92,6 +92,24 @@ def test_parse_timestamp(spark, raw, expected):
     assert got == [(expected,)]
 
 
+@pytest.mark.parametrize("raw, value, reason", [
+    ("3/4/2021", "2021-03-04 00:00:00", None), ("2021/3/4 5:06", "2021-03-04 05:06:00", None), ("04-MAR-2021", "2021-03-04 00:00:00", None),
+    ("4-mar-2021 10:11:12", "2021-03-04 10:11:12", None), ("Thu, 4 Mar 2021 10:11:12 +0200", "2021-03-04 08:11:12", None),
+    ("2021-02-30", None, "no such time"), ("31/31/2021", None, "no such time"), ("4-xyz-2021", None, "no such time"), ("10:11", None, "no date"),
+    ("soon", None, "unknown form"), ("12", None, "unknown form"), ("", None, None), ("  ", None, None), (None, None, None)])
+def test_parse_dated_says_why(spark, raw, value, reason):
+    p = dates.parse_dated(c("t"))
+    assert one(spark, [(raw,)], "t string", p["value"].cast("timestamp_ntz").cast("string"), p["reason"]) == [(value, reason)]
+
+
+def test_parse_number_keeps_long_ones(spark):
+    p = numbers.parse_number(c("t"))
+    texts = ["12345678901234567890", "-1.5", "1e3", "abc", "9" * 39, "", " ", None, "NaN"]
+    got = one(spark, [(t,) for t in texts], "t string", p["value"].cast("string"), p["reason"])
+    assert got == [("12345678901234567890", None), ("-2", None), ("1000", None), (None, "not a number"), (None, "more than 38 digits"),
+                   (None, None), (None, None), (None, None), (None, "not a number")]
+
+
 @pytest.mark.parametrize("start, end, days, hours", [
     ("2020-01-01 23:59:00", "2020-01-02 00:01:00", 1, 1),
     ("2020-01-01 10:59:00", "2020-01-01 11:01:00", 0, 1),

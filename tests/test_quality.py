@@ -41,3 +41,29 @@ def test_declared_tests():
     tests = data_tests("P")
     assert len(tests) == 66 == len(set(tests))
     assert sum(t.severity == "warn" for t in tests) == 4
+
+
+def test_the_suite_reads_every_table_once(spark, tmp_path):
+    """Unique, accepted, not-null and keys, through a chain of relationships, out of one aggregate."""
+    a = spark.createDataFrame([(1, "x", None), (2, "y", "t"), (2, None, "t"), (None, "z", "t")], "id int, label string, text string")
+    b = spark.createDataFrame([(1, 1), (2, 9), (9, 9), (None, 1)], "key int, a_id int")
+    c = spark.createDataFrame([("1",), ("7",), ("7",), (None,)], "b_key string")
+    written = {}
+    for name, df in {"a": a, "b": b, "c": c}.items():
+        df.write.parquet(str(tmp_path / name))
+        written[name] = spark.read.parquet(str(tmp_path / name))
+    tests = [
+        quality.Test("a", "id", "unique"), quality.Test("a", "id", "not_null"), quality.Test("a", "text", "not_null"),
+        quality.Test("a", "label", "accepted_values", values=("x", "y"), severity="warn"), quality.Test("b", "key", "unique"),
+        quality.Test("b", "a_id", "relationships", parent="a", parent_column="id"), quality.Test("c", "b_key", "relationships", parent="b"),
+        quality.Test("b", "a_id", "unique")]
+    suite = quality.run_suite(written, tests)
+    got = {(r["model"], r["column"], r["test"]): (r["failures"], r["status"]) for r in suite.collect()}
+    assert got == {
+        ("a", "id", "unique"): (1, "ERROR"), ("a", "id", "not_null"): (1, "ERROR"), ("a", "text", "not_null"): (1, "ERROR"),
+        ("a", "label", "accepted_values"): (1, "WARN"), ("b", "key", "unique"): (0, "PASS"), ("b", "a_id", "relationships"): (2, "ERROR"),
+        ("c", "b_key", "relationships"): (2, "ERROR"), ("b", "a_id", "unique"): (2, "ERROR")}
+    plan = suite._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 3 and "Join" not in plan and plan.count("Exchange") == 2
+    empty = quality.run_suite({n: df.limit(0) for n, df in written.items()}, tests)
+    assert {r["status"] for r in empty.collect()} == {"PASS"}

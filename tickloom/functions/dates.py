@@ -8,24 +8,56 @@ from pyspark.sql import functions as F
 from tickloom.functions.numbers import cap
 
 
+# Forms that dates come in: which texts have one, and the pattern that reads it.
+FORMS = [
+    (r"^[0-9]{8}$", "yyyyMMdd"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} ", "M/d/yyyy H:mm[:ss]"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2} ", "yyyy/M/d H:mm[:ss]"),
+    (r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$", "d-MMM-yyyy"),
+    (r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4} ", "d-MMM-yyyy H:mm[:ss]"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4} .*[+-][0-9]{4}$", "d MMM yyyy H:mm[:ss] Z"),
+]
+WEEKDAY = "^(Mon|Tue|Wed|Thu|Fri|Sat|Sun), "
+BARE_TIME = r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?"
+
+
 def parse_timestamp(text: Column) -> Column:
     """Tolerant parse: NULL when the text is not a dated timestamp.
 
-    Forms: year first with hyphens (ISO, with or without time and zone); eight
-    digits ``yyyyMMdd``; ``M/d/yyyy`` with or without a time; nine or ten digits
-    of seconds and twelve or thirteen of milliseconds since 1970.  A bare time
-    is NULL; Spark alone would read it as today.
+    Forms: year first with hyphens (ISO, with or without time and zone); those in
+    ``FORMS``, with English month names, a weekday before them is skipped; nine or ten
+    digits of seconds and twelve or thirteen of milliseconds since 1970.  A bare
+    time is NULL; Spark alone would read it as today.
     """
     plain = F.trim(text)
     number = plain.try_cast("bigint")
-    return (
-        F.when(plain.like("____-%"), F.try_to_timestamp(text))
-        .when(plain.rlike("^[0-9]{8}$"), F.try_to_timestamp(plain, F.lit("yyyyMMdd")))
-        .when(plain.rlike("^[0-9]{9,10}$"), F.timestamp_seconds(number))
-        .when(plain.rlike("^[0-9]{12,13}$"), F.timestamp_millis(number))
-        .when(plain.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_timestamp(plain, F.lit("M/d/yyyy")))
-        .when(plain.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} "), F.try_to_timestamp(plain, F.lit("M/d/yyyy H:mm[:ss]")))
-    )
+    dated = F.regexp_replace(plain, WEEKDAY, "")
+    # The pattern wants the month as in Jan.
+    dated = F.when(dated.rlike("[A-Za-z]{3}"), F.initcap(dated)).otherwise(dated)
+    found = F.when(plain.like("____-%"), F.try_to_timestamp(text))
+    found = found.when(plain.rlike("^[0-9]{9,10}$"), F.timestamp_seconds(number)).when(plain.rlike("^[0-9]{12,13}$"), F.timestamp_millis(number))
+    for form, pattern in FORMS:
+        # Months that stand between hyphens are no words of their own.
+        value = F.concat(F.regexp_extract(dated, "^[0-9]{1,2}-", 0), F.initcap(F.regexp_replace(dated, "^[0-9]{1,2}-", ""))) if "-MMM" in pattern else dated
+        found = found.when(dated.rlike(form), F.try_to_timestamp(value, F.lit(pattern)))
+    return found
+
+
+def parse_dated(text: Column) -> Column:
+    """value, as by :func:`parse_timestamp`, and reason why a text has none.
+
+    A NULL, empty or blank text has neither.
+    """
+    value, plain = parse_timestamp(text), F.trim(text)
+    dated = F.regexp_replace(plain, WEEKDAY, "")
+    known = plain.like("____-%") | plain.rlike("^([0-9]{8,10}|[0-9]{12,13})$")
+    for form, _ in FORMS:
+        known |= dated.rlike(form)
+    reason = F.when(value.isNotNull() | (plain == "") | text.isNull(), F.lit(None).cast("string")).when(
+        plain.rlike(BARE_TIME), "no date").when(known, "no such time").otherwise("unknown form")
+    return F.struct(value.alias("value"), reason.alias("reason"))
 
 
 def day_diff(start: Column, end: Column) -> Column:

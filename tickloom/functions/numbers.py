@@ -6,8 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def parse_number(text: Column) -> Column:
+    """value decimal(38,0), rounded half up, and reason why a text has none.
+
+    A NULL, empty or blank text has neither.
+    """
+    value = text.try_cast("decimal(38,0)")
+    blank = F.trim(text) == ""
+    reason = F.when(value.isNotNull() | blank | text.isNull(), F.lit(None).cast("string")).when(
+        text.try_cast("double").isNull() | F.isnan(text.try_cast("double")), "not a number").otherwise("more than 38 digits")
+    return F.struct(value.alias("value"), reason.alias("reason"))
+
+
 def try_number(text: Column) -> Column:
-    """Tolerant parse to a whole number: '1.6' gives 2, 'abc' gives NULL."""
+    """Tolerant parse to a whole number of 64 bits: '1.6' gives 2, 'abc' gives
+    NULL; :func:`parse_number` keeps larger ones and says what was lost."""
     return text.try_cast("decimal(38,0)").try_cast("bigint")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -68,43 +68,69 @@ def check_signal(df: DataFrame, flag: str, column: str, value: str) -> DataFrame
     return counts.withColumn("status", F.when(usable, "PASS").otherwise("ERROR"))
 
 
-def _not_null_failures(df: DataFrame, tests: list[Test]) -> list[DataFrame]:
-    """All not-null tests of a table in one pass."""
-    counts = df.agg(*[F.count_if(F.col(t.column).isNull()).alias(t.column) for t in tests])
-    pairs = [F.struct(F.lit(t.column).alias("column"), F.col(t.column).alias("failures")) for t in tests]
-    rows = counts.select(F.inline(F.array(*pairs)))
-    return [rows.select(F.lit(tests[0].model).alias("model"), "column", F.lit("not_null").alias("test"),
-                        F.lit("error").alias("severity"), "failures")]
-
-
-def _failures(tables: dict[str, DataFrame], test: Test) -> DataFrame:
-    df = tables[test.model]
-    count = F.count("*")
-    if test.kind == "unique":
-        found = check_unique(df, test.column)
-    elif test.kind == "accepted_values":
-        found = check_accepted(df, test.column, list(test.values))
-    elif test.kind == "relationships":
-        found = check_fk(df, test.column, tables[test.parent], test.parent_column)
-        count = F.coalesce(F.sum("n"), F.lit(0))
-    else:
-        raise ValueError(test.kind)
-    return found.agg(count.alias("failures")).select(
-        F.lit(test.model).alias("model"), F.lit(test.column).alias("column"), F.lit(test.kind).alias("test"),
-        F.lit(test.severity).alias("severity"), "failures")
+def domains(tests: list[Test]) -> list[list[tuple[str, str]]]:
+    """Columns (model, column) in groups that relationships connect; every tested column is in one."""
+    group: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for t in tests:
+        own = group.setdefault((t.model, t.column), [(t.model, t.column)])
+        if t.kind == "relationships":
+            other = group.setdefault((t.parent, t.parent_column), [(t.parent, t.parent_column)])
+            if own is not other:
+                own += other
+                group.update({place: own for place in other})
+    return [list(g) for g in {id(g): g for g in group.values()}.values()]
+
+
+def _values(df: DataFrame, columns: list[tuple[str, int, int, bool]]) -> DataFrame:
+    """domain, source, value of the columns (name, domain, source, whole); of a
+    column that is not whole only its NULLs."""
+    def entry(name: str, domain: int, source: int, whole: bool) -> Column:
+        value = F.col(name)
+        found = F.struct(F.lit(domain).alias("domain"), F.lit(source).alias("source"), (value if whole else F.lit(None)).cast("string").alias("value"))
+        return found if whole else F.when(value.isNull(), found)
+
+    return df.select(F.inline(F.array_compact(F.array(*[entry(*c) for c in columns]))))
 
 
 def run_suite(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
     """One row per test: PASS, WARN or ERROR and the number of failures.
 
-    Give it written tables: every test is a pass over its table.
+    The suite is compiled to one pass: every table is read once and gives the
+    values of its tested columns (of columns that are only tested for NULLs, just
+    these), which are counted per domain, value and column.  Columns that a
+    relationship connects are one domain, so a child value without a parent is a
+    counted row, and no table is joined.  Values are compared as texts.
     """
-    not_null: dict[str, list[Test]] = {}
-    for t in tests:
+    groups = domains(tests)
+    place = {member: (d, s) for d, group in enumerate(groups) for s, member in enumerate(group)}
+    # Long texts and other columns that are never compared stay out of the shuffle.
+    compared = {(t.model, t.column) for t in tests if t.kind != "not_null"} | {
+        (t.parent, t.parent_column) for t in tests if t.kind == "relationships"}
+    by_model: dict[str, list[tuple[str, int, int, bool]]] = {}
+    for (model, column), (domain, source) in place.items():
+        by_model.setdefault(model, []).append((column, domain, source, (model, column) in compared))
+    values = reduce(DataFrame.unionByName, [_values(tables[model], columns) for model, columns in by_model.items()])
+    counted = values.groupBy("domain", "value").agg(*[
+        F.count_if(F.col("source") == s).alias(f"n{s}") for s in range(max(map(len, groups)))])
+
+    def failures(t: Test) -> Column:
+        domain, source = place[t.model, t.column]
+        here, n, value = F.col("domain") == domain, F.col(f"n{source}"), F.col("value")
         if t.kind == "not_null":
-            not_null.setdefault(t.model, []).append(t)
-    rows = [r for model, ts in not_null.items() for r in _not_null_failures(tables[model], ts)]
-    rows += [_failures(tables, t) for t in tests if t.kind != "not_null"]
-    result = reduce(DataFrame.unionByName, rows)
+            return F.coalesce(F.sum(F.when(here & value.isNull(), n)), F.lit(0))
+        if t.kind == "unique":
+            return F.count_if(here & value.isNotNull() & (n > 1))
+        if t.kind == "accepted_values":
+            return F.count_if(here & (n > 0) & ~value.isin([str(v) for v in t.values]))
+        if t.kind == "relationships":
+            parents = F.col(f"n{place[t.parent, t.parent_column][1]}")
+            return F.coalesce(F.sum(F.when(here & value.isNotNull() & (parents == 0), n)), F.lit(0))
+        raise ValueError(t.kind)
+
+    found = counted.agg(*[failures(t).alias(f"t{i}") for i, t in enumerate(tests)])
+    row = lambda i, t: F.struct(
+        F.lit(t.model).alias("model"), F.lit(t.column).alias("column"), F.lit(t.kind).alias("test"), F.lit(t.severity).alias("severity"),
+        F.col(f"t{i}").alias("failures"))
+    result = found.select(F.inline(F.array(*[row(i, t) for i, t in enumerate(tests)])))
     bad = F.when(F.col("severity") == "warn", "WARN").otherwise("ERROR")
     return result.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise(bad))

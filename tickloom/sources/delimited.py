@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
@@ -174,6 +174,10 @@ class Landing:
         return self.table.filter(F.col(BAD).isNull()).select(F.col(FILE).alias("file"), F.explode(NULLED).alias("column_name")).groupBy(
             "file", "column_name").agg(F.count("*").alias("nulled"))
 
+    def losses(self, parsers: dict[str, Callable[[Column], Column]]) -> DataFrame:
+        """file, column_name, reason, lost: loaded texts that the parsers cannot read."""
+        return parse_losses(self.table.filter(F.col(BAD).isNull()).withColumnRenamed(FILE, "file"), parsers, "file")
+
 
 def land_counted(spark: SparkSession, path: str, contract: dict[str, str], target: str, multi_line: bool,
                  tokens: list[str] = fv.NULL_TOKENS) -> Landing:
@@ -228,3 +232,12 @@ def row_count_audit(tables: dict[str, DataFrame], expected: dict[str, int], tole
     error = F.abs(F.col("row_count") - F.col("expected")) / F.col("expected").cast("double")
     close = F.when(error <= tolerance, "OK").otherwise("CHECK")
     return reduce(DataFrame.unionByName, counts).withColumns({"rel_error": F.round(error, 6), "status": close})
+
+
+def parse_losses(df: DataFrame, parsers: dict[str, Callable[[Column], Column]], *by: str) -> DataFrame:
+    """*by, column_name, reason, lost: texts that the parsers (value and reason)
+    could not read, all columns in one pass."""
+    lost = F.array_compact(F.array(*[
+        F.when(parse(F.col(f"`{name}`"))["reason"].isNotNull(), F.struct(F.lit(name).alias("column_name"), parse(F.col(f"`{name}`"))["reason"].alias("reason")))
+        for name, parse in parsers.items()]))
+    return df.select(*by, F.inline(lost)).groupBy(*by, "column_name", "reason").agg(F.count("*").alias("lost"))

@@ -90,6 +90,69 @@ register("src05_row_count_audit", _src05, sql("SELECT * REPLACE (CASE WHEN rel_e
         for name, source in [("issues", "orders"), ("changelog", "events"), ("comments", "conversations"), ("parents", "orders")]) + ")"))
 
 
+# Orders whose dates and prices are written in many forms, some of them unreadable.
+_WRITTEN = """SELECT o_orderkey AS id, 'f' || (o_orderkey % 3) AS source,
+    CASE o_orderkey % 11 WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '%m/%d/%Y') WHEN 2 THEN strftime(d, '%Y%m%d')
+      WHEN 3 THEN strftime(d, '%Y/%m/%d') WHEN 4 THEN strftime(d, '%d-%b-%Y') WHEN 5 THEN strftime(d, '%a, %d %b %Y') || ' 00:00:00 +0000'
+      WHEN 6 THEN '10:30:00' WHEN 7 THEN '2021-02-30' WHEN 8 THEN 'soon' WHEN 9 THEN '' END AS written,
+    CASE o_orderkey % 7 WHEN 0 THEN k WHEN 1 THEN k || '.6' WHEN 2 THEN '12345678901234' || lpad(k, 6, '0') WHEN 3 THEN 'many' WHEN 4 THEN repeat('9', 45)
+      WHEN 5 THEN '' END AS number
+    FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_orderkey % 1000 AS VARCHAR) AS k FROM orders)"""
+
+
+def _written(m: Models) -> DataFrame:
+    """The same by Spark, through delimited files: each source is a folder of its own."""
+    o, d, k = c("o_orderkey"), c("o_orderdate"), (c("o_orderkey") % 1000).cast("string")
+    day = F.substring(F.date_format(d, "E"), 1, 3)
+    forms = [F.date_format(d, "yyyy-MM-dd"), F.date_format(d, "MM/dd/yyyy"), F.date_format(d, "yyyyMMdd"), F.date_format(d, "yyyy/MM/dd"),
+             F.date_format(d, "dd-MMM-yyyy"), F.concat(day, F.date_format(d, "', 'dd MMM yyyy' 00:00:00 +0000'")), F.lit("10:30:00"), F.lit("2021-02-30"),
+             F.lit("soon"), F.lit("")]
+    numbers_ = [k, F.concat(k, F.lit(".6")), F.concat(F.lit("12345678901234"), F.lpad(k, 6, "0")), F.lit("many"), F.lit("9" * 45), F.lit("")]
+    pick = lambda of, n: F.get(F.array(*of), (o % n).cast("int"))
+    return m.table("orders").select(o.alias("id"), F.concat(F.lit("f"), o % 3).alias("source"), pick(forms, 11).alias("written"), pick(numbers_, 7).alias("number"))
+
+
+register("dt01_parse_forms", lambda m: _written(m).select("id", dates.parse_dated(c("written")).alias("p")).select("id", "p.value", "p.reason").withColumn(
+    "value", c("value").cast("timestamp_ntz")),
+    f"""SELECT id, CAST(CASE WHEN id % 11 < 6 THEN d END AS TIMESTAMP) AS value,
+        CASE id % 11 WHEN 6 THEN 'no date' WHEN 7 THEN 'no such time' WHEN 8 THEN 'unknown form' END AS reason
+        FROM ({_WRITTEN}) JOIN (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS d FROM orders) USING (id)""")
+register("mth02_parse_number", lambda m: _written(m).select("id", numbers.parse_number(c("number")).alias("p")).select(
+    "id", c("p.value").cast("string").alias("value"), "p.reason"),
+    f"""SELECT id, CASE WHEN id % 7 IN (0, 2) THEN number WHEN id % 7 = 1 THEN CAST(id % 1000 + 1 AS VARCHAR) END AS value,
+        CASE id % 7 WHEN 3 THEN 'not a number' WHEN 4 THEN 'more than 38 digits' END AS reason FROM ({_WRITTEN})""")
+
+
+def _landed(m: Models) -> delimited.Landing:
+    """Orders in three folders, each with rows that lack a field, landed with their accounting."""
+    path = scratch(m, "written")
+    rows = _written(m).withColumn("id", c("id").cast("string")).withColumn("number", F.coalesce("number", F.lit("None")))
+    for source in ("f0", "f1", "f2"):
+        own = rows.filter(c("source") == source).drop("source")
+        whole, short = own.filter("id % 5 <> 0"), own.filter("id % 5 = 0")
+        tables.export_csv(whole, f"{path}/{source}-whole")
+        short.select(F.concat_ws(",", "id", F.lit("x")).alias("id,written,number")).write.options(header=True, sep="\u0001").csv(f"{path}/{source}-short")
+    return delimited.land_counted(m.spark, f"{path}/*", {"id": "id", "written": "written", "number": "number"}, scratch(m, "raw"), multi_line=True)
+
+
+def _source_of(file: str = "file") :
+    return F.regexp_extract(file, "/(f[0-2])-(whole|short)/", 1)
+
+
+register("src04_rows_by_file", lambda m: _landed(m).files().groupBy(_source_of().alias("source")).agg(
+    F.sum("loaded").alias("loaded"), F.sum("rejected").alias("rejected")),
+    f"SELECT source, count(*) FILTER (id % 5 <> 0) AS loaded, count(*) FILTER (id % 5 = 0) AS rejected FROM ({_WRITTEN}) GROUP BY 1")
+register("src04_nulled_by_file", lambda m: _landed(m).nulled().groupBy(_source_of().alias("source"), "column_name").agg(F.sum("nulled").alias("nulled")),
+    f"""SELECT source, 'number' AS column_name, count(*) AS nulled FROM ({_WRITTEN}) WHERE id % 5 <> 0 AND number IS NULL GROUP BY 1""")
+register("src05_parse_losses", lambda m: _landed(m).losses({"written": dates.parse_dated, "number": numbers.parse_number}).groupBy(
+    _source_of().alias("source"), "column_name", "reason").agg(F.sum("lost").alias("lost")),
+    f"""SELECT source, column_name, reason, count(*) AS lost FROM (
+        SELECT source, 'written' AS column_name, CASE id % 11 WHEN 6 THEN 'no date' WHEN 7 THEN 'no such time' WHEN 8 THEN 'unknown form' END AS reason
+        FROM ({_WRITTEN}) WHERE id % 5 <> 0
+        UNION ALL SELECT source, 'number', CASE id % 7 WHEN 3 THEN 'not a number' WHEN 4 THEN 'more than 38 digits' END FROM ({_WRITTEN}) WHERE id % 5 <> 0)
+        WHERE reason IS NOT NULL GROUP BY ALL""")
+
+
 def _src06(m: Models) -> DataFrame:
     path = scratch(m, "seed")
     tables.export_csv(m.types(), path)
