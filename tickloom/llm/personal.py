@@ -97,7 +97,7 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     out, failed = [(0, a, b) for a, b in emails(text)] if "@" in text else [], []
     if DIGIT.search(text):
         for m in IP.finditer(text):
-            fine = all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))
+            fine = all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in m[0].split(".")))
             (out if fine else failed).append((1, *m.span()))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
