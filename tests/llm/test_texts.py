@@ -126,6 +126,30 @@ def test_automaton_is_minimal_and_counts():
     assert len(a.table) == 6
 
 
+def test_starts_of_all_rules_in_one_pass():
+    starts = secrets.Starts([r"ab+", r"(?i)b{2}", r"bc"])
+    assert starts.of(b"abbBc") == {0: [0], 1: [2, 1]}
+    assert starts.of(b"xbcab") == {0: [3], 2: [1]}
+
+
+LONG = {
+    "jwt": "eyJ" * 350_000, "jwt dots": "eyJa." * 200_000, "keys": "-----BEGIN " * 90_000, "key": "-----BEGIN " + "A" * 1_000_000,
+    "digits": "1" * 1_000_000, "hex": "abcdef0123" * 100_000, "assign": "password=token=" * 70_000}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_a_line_of_a_megabyte_ends_soon(name):
+    import time
+
+    text = LONG[name] + " AKIA" + "B" * 20
+    before = time.process_time()
+    (spans,) = secrets._scanner(tuple(secrets.RULES))([text.encode()])
+    base, _ = personal.candidates(text)
+    assert time.process_time() - before < 20
+    assert {"kind": "access", "start": len(text) - 24, "end": len(text)} in spans[0]
+    assert base == [] or name == "assign"
+
+
 def test_secrets_are_masked(spark, docs):
     texts = ["é token = abcdefgh!", None, "clean", "gho_" + "a" * 40 + " AKIA" + "B" * 16]
     got = by_id(secrets.redact(docs(texts), "*"))
@@ -197,6 +221,13 @@ def test_further_personal_data_is_learned_and_masked(spark, docs):
     assert personal.report(docs([])).count() == 0
 
 
+def test_addresses_with_thousands_of_zeros(spark, docs):
+    zeros = "0" * 10_000
+    texts = [f"{zeros}1.1.1.1", f"1.{zeros}.1.1", f"1.1.1.{zeros}256", f"{zeros}1{zeros}.1.1.1"]
+    got = by_id(personal.report(docs(texts)))
+    assert [got[i]["n_ip"] for i in range(4)] == [1, 1, 0, 0]
+
+
 @pytest.mark.parametrize("dot", ["(dot)", " (dot) ", "[dot]", " [dot] ", " dot "])
 @pytest.mark.parametrize("at", ["(at)", " (at) ", "[at]", " [at] ", " at "])
 def test_written_addresses_are_candidates_in_all_forms(at, dot):

@@ -4,10 +4,12 @@ The rules' regular expressions are compiled to one automaton: positions and
 jumps (Thompson), subset construction over byte classes, minimisation by
 refining classes of states, and a transition array.  The array reads every
 byte of every line once for all rules; a state that cannot be left marks a
-line that holds a match.  Spans come from a second pass over marked lines alone,
-in which the automaton of each rule, built in the same way, gives the leftmost
-longest matches.  These stay inside a line; a match of a rule in ``BLOCKS`` is then
-carried on over line ends: a private key goes up to its END mark, whatever lies
+line that holds a match.  Marked lines are read once more, backwards, by the
+automaton of the reversed rules: its states are tagged with the rules of which a
+match begins at the byte just read.  From these places alone, leftmost first, the
+automaton of the rule runs to the longest end, so a line costs time in proportion
+to its length, whatever it holds.  Matches stay inside a line; one of a rule in
+``BLOCKS`` is then carried on over line ends: a private key goes up to its END mark, whatever lies
 between, or, where that is missing before the next key or the end of the text,
 over the headers and base64 lines that follow.
 
@@ -185,19 +187,6 @@ class Automaton:
                 break
         return end
 
-    def matches(self, line: bytes) -> list[tuple[int, int]]:
-        """Leftmost longest matches that do not overlap."""
-        coded, out, i = line.translate(self.classes), [], 0
-        can_start = bytes(c for c in range(self.width) if self.table[0][c] not in self.dead)
-        while i < len(coded):
-            end = self.longest(coded, i) if coded[i] in can_start else -1
-            if end > i:
-                out.append((i, end))
-                i = end
-            else:
-                i += 1
-        return out
-
     def hold_match(self, data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Which lines of data hold a match: all lines step on together, the
         longest first, so that those still running stay in front."""
@@ -225,6 +214,53 @@ class Automaton:
         return state * self.width
 
 
+class Starts:
+    """The combined automaton of the reversed rules: read backwards from the end of
+    a line, a state tells the rules of which a match begins here."""
+
+    def __init__(self, patterns: Iterable[str]):
+        edges: list[tuple[frozenset[int], int] | None] = []
+        jumps: list[list[int]] = []
+        begins, rule_of = [], {}
+        for k, pattern in enumerate(patterns):
+            parser = _Parser(pattern)
+            a, b = parser.either()
+            shift = len(edges)
+            own = len(parser.edges)
+            edges += [None] * own
+            jumps += [[] for _ in range(own)]
+            for state, edge in enumerate(parser.edges):
+                if edge:
+                    # A state has one edge; those that end in one place get states of their own.
+                    jumps[edge[1] + shift].append(len(edges))
+                    edges.append((edge[0], state + shift))
+                    jumps.append([])
+            for state, targets in enumerate(parser.jumps):
+                for target in targets:
+                    jumps[target + shift].append(state + shift)
+            begins.append(b + shift)
+            rule_of[a + shift] = k
+        self.classes, samples = _byte_classes([e[0] for e in edges if e])
+        reach = [_reach(s, jumps) for s in range(len(edges))]
+        first = frozenset().union(*(reach[s] for s in begins))
+        tags: list[int] = []
+        table, _ = _subsets(first, edges, reach, set(), samples, True, lambda subset: tags.append(
+            sum(1 << k for s, k in rule_of.items() if s in subset)))
+        self.table, self.tags = _minimal(table, tags)
+        self.rules = [[k for k in range(len(begins)) if t >> k & 1] for t in self.tags]
+
+    def of(self, line: bytes) -> dict[int, list[int]]:
+        """rule -> places where a match of it begins, the last one first."""
+        out: dict[int, list[int]] = {}
+        state, table, rules = 0, self.table, self.rules
+        coded = line.translate(self.classes)
+        for i in range(len(coded) - 1, -1, -1):
+            state = table[state][coded[i]]
+            for k in rules[state]:
+                out.setdefault(k, []).append(i)
+        return out
+
+
 def _byte_classes(sets: list[frozenset[int]]) -> tuple[bytes, list[int]]:
     """Bytes that no rule tells apart share a class; a sample byte of each."""
     seen: dict[tuple[bool, ...], int] = {}
@@ -248,10 +284,11 @@ def _reach(state: int, jumps: list[list[int]]) -> frozenset[int]:
     return frozenset(out)
 
 
-def _subsets(first, edges, reach, goals, samples, anywhere) -> tuple[list[list[int]], list[bool]]:
+def _subsets(first, edges, reach, goals, samples, anywhere, visit=lambda subset: None) -> tuple[list[list[int]], list[bool]]:
     number, todo, table, accepts = {first: 0}, [first], [], []
     while todo:
         subset = todo.pop(0)
+        visit(subset)
         goal = not goals.isdisjoint(subset)
         accepts.append(goal)
         row = []
@@ -268,8 +305,8 @@ def _subsets(first, edges, reach, goals, samples, anywhere) -> tuple[list[list[i
     return table, accepts
 
 
-def _minimal(table: list[list[int]], accepts: list[bool]) -> tuple[list[list[int]], list[bool]]:
-    """States with the same future become one; the start stays 0."""
+def _minimal(table: list[list[int]], accepts: list) -> tuple[list[list[int]], list]:
+    """States with the same future, and the same flag or tag, become one; the start stays 0."""
     block = [int(a) for a in accepts]
     while True:
         seen: dict[tuple, int] = {}
@@ -279,7 +316,7 @@ def _minimal(table: list[list[int]], accepts: list[bool]) -> tuple[list[list[int
         block = new
     block = new
     rows: dict[int, list[int]] = {}
-    flags: dict[int, bool] = {}
+    flags: dict[int, object] = {}
     for s, row in enumerate(table):
         rows.setdefault(block[s], [block[t] for t in row])
         flags.setdefault(block[s], accepts[s])
@@ -287,17 +324,24 @@ def _minimal(table: list[list[int]], accepts: list[bool]) -> tuple[list[list[int
 
 
 @lru_cache(maxsize=2)
-def compiled(rules: tuple[tuple[str, str, int], ...]) -> tuple[Automaton, list[tuple[str, int, Automaton]]]:
-    """One automaton for the pass over all bytes, one per rule for the spans."""
-    return (Automaton([p for _, p, _ in rules], anywhere=True),
+def compiled(rules: tuple[tuple[str, str, int], ...]) -> tuple[Automaton, Starts, list[tuple[str, int, Automaton]]]:
+    """One automaton for the pass over all bytes, one for the starts in a marked line, one per rule for the ends."""
+    patterns = [p for _, p, _ in rules]
+    return (Automaton(patterns, anywhere=True), Starts(patterns),
             [(kind, least, Automaton([p], anywhere=False)) for kind, p, least in rules])
 
 
-def line_spans(line: bytes, rules) -> list[tuple[int, int, int]]:
-    """(start, rule, end) in bytes; matches that fail their length are gone, and not tried again."""
+def line_spans(line: bytes, starts: Starts, rules) -> list[tuple[int, int, int]]:
+    """(start, rule, end) in bytes, leftmost and longest, without overlaps within a
+    rule; matches that fail their length are gone, and not tried again."""
     out = []
-    for k, (kind, least, automaton) in enumerate(rules):
-        for start, end in automaton.matches(line):
+    for k, places in sorted(starts.of(line).items()):
+        kind, least, automaton = rules[k]
+        coded, end = line.translate(automaton.classes), 0
+        for start in reversed(places):
+            if start < end:
+                continue
+            end = automaton.longest(coded, start)
             value = end - start
             if kind == "assign":  # the value is what follows the last sign of the match that no value holds
                 value = _value_length(line[start:end])
@@ -331,7 +375,7 @@ def _value_length(match: bytes) -> int:
 
 
 def _scanner(rules):
-    detect, single = compiled(rules)
+    detect, first, single = compiled(rules)
 
     def scan(texts: list[bytes | None]):
         data = b"\n".join(t or b"" for t in texts) + b"\n"
@@ -349,7 +393,7 @@ def _scanner(rules):
             shift += int(np.count_nonzero((byte[at:starts[k]] & 0xC0) != 0x80))
             at = int(starts[k])
             line = data[at:ends[k]]
-            if spans := line_spans(line, single):
+            if spans := line_spans(line, first, single):
                 points = np.concatenate(([0], np.cumsum((byte[at:ends[k]] & 0xC0) != 0x80))) + shift
                 for a, k2, b in spans:
                     to = int(points[b])
