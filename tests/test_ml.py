@@ -185,9 +185,42 @@ def test_embeddings(spark):
     def make_encoder():
         return lambda texts: np.array([[len(t), 1.0] for t in texts])
 
-    cache = embed.embed(df.filter("key = 'a'"), "t", make_encoder)
-    both = dict(rows(embed.embed_missing(cache, df, "t", make_encoder)))
-    assert set(both) == {"a", "b", "c"} and both["a"] == both["b"] and both["c"] == [0.0, 1.0]
+    both = dict(rows(embed.embed(df, "t", make_encoder)))
+    assert both["a"] == both["b"] and both["c"] == [0.0, 1.0]
+
+
+def test_embedding_table_encodes_only_new_and_changed_texts(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def make_encoder():
+        import uuid
+
+        def encode(texts):
+            (calls / uuid.uuid4().hex).write_text("\n".join(texts))
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return encode
+
+    def encoded():
+        texts = sorted(t for f in calls.iterdir() for t in f.read_text().split("\n"))
+        for f in calls.iterdir():
+            f.write_text("seen")
+        return [t for t in texts if t != "seen"]
+
+    path = str(tmp_path / "table")
+    first = spark.createDataFrame([("a", "one"), ("b", "two two"), ("c", None), ("gone", "left"), ("d", "one")], "key string, t string")
+    table = embed.update_embeddings(spark, path, first, "t", make_encoder)
+    assert encoded() == ["", "left", "one", "two two"] and table.filter("encoded").count() == 5
+    opened = table
+    # Unchanged, a text that another key had, a changed one, an emptied one, a new key; one key is gone.
+    second = spark.createDataFrame([("a", "one"), ("b", "left"), ("c", "three"), ("d", ""), ("e", "one")], "key string, t string")
+    table = embed.update_embeddings(spark, path, second, "t", make_encoder)
+    assert encoded() == ["three"]
+    assert {r["key"]: r["encoded"] for r in table.collect()} == {"a": False, "b": False, "c": True, "d": False, "e": False}
+    by = {r["key"]: r["embedding"] for r in table.collect()}
+    assert by["a"] == by["e"] and by["b"][0] == pytest.approx(4 / 17**0.5) and by["d"] == [0.0, 1.0]
+    assert opened.count() == 5 and {r["key"] for r in opened.collect()} == {"a", "b", "c", "d", "gone"}
 
 
 def test_training_beats_majority(spark):

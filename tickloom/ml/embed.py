@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F, types as T
+
+from tickloom.sources.tables import read_table, versions, write_table
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -34,11 +36,41 @@ def embed(df: DataFrame, text: str, make_encoder: Callable[[], Encoder], key: st
     return df.select(key, encode(F.col(text)).alias("embedding"))
 
 
-def embed_missing(cache: DataFrame, df: DataFrame, text: str, make_encoder: Callable[[], Encoder],
-                  key: str = "key") -> DataFrame:
-    """Cached vectors plus those of keys not cached yet; vectors meet tickets by key."""
-    fresh = df.join(cache.select(key), key, "left_anti")
-    return cache.select(key, "embedding").unionByName(embed(fresh, text, make_encoder, key))
+def text_digest(text: Column) -> Column:
+    """What a text is known by; NULL and the empty text are the same."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def merge_embeddings(known: DataFrame, df: DataFrame, text: str, make_encoder: Callable[[], Encoder],
+                     key: str = "key") -> DataFrame:
+    """ML-11: key, digest, embedding, encoded: one row per row of df.
+
+    known (key, digest, embedding) is the table as it was.  A vector belongs to a
+    text: one that is known under any key is taken over, a new or changed one is
+    encoded, once for all rows that hold it (``encoded``).  Keys that have left df
+    are not in the result.  Texts are combined by digest before the shuffle, so a
+    text that many rows share travels as a row per task.
+    """
+    current = df.select(key, F.col(text).alias("_text"), text_digest(F.col(text)).alias("digest"))
+    have = known.groupBy("digest").agg(F.first("embedding").alias("embedding"))
+    new = current.groupBy("digest").agg(F.first("_text").alias("_text")).join(have.select("digest"), "digest", "left_anti")
+    vectors = have.withColumn("encoded", F.lit(False)).unionByName(
+        embed(new, "_text", make_encoder, "digest").withColumn("encoded", F.lit(True)))
+    return current.select(key, "digest").join(vectors, "digest").select(key, "digest", "embedding", "encoded")
+
+
+def update_embeddings(spark: SparkSession, path: str, df: DataFrame, text: str, make_encoder: Callable[[], Encoder],
+                      key: str = "key") -> DataFrame:
+    """Bring the embedding table in path up to date with df; its rows as written.
+
+    Who reads the table meanwhile keeps the version before (see ``sources.tables``).
+    """
+    if versions(spark, path):
+        known = read_table(spark, path).select(key, "digest", "embedding")
+    else:
+        known = spark.createDataFrame([], T.StructType([df.schema[key], T.StructField("digest", T.StringType()),
+                                                        T.StructField("embedding", T.ArrayType(T.FloatType()))]))
+    return write_table(merge_embeddings(known, df, text, make_encoder, key), path)
 
 
 def embed_tfidf(df: DataFrame, text: str, key: str = "key", dim: int = 1024) -> DataFrame:

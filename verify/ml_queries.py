@@ -235,6 +235,24 @@ register("ml11_embed", _ml11, """
       SELECT doc_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM (
         SELECT doc_id, list_transform(range(0, 26), lambda i:
           (length(lower(text)) - length(replace(lower(text), chr(CAST(97 + i AS INTEGER)), '')))::DOUBLE) AS v FROM documents))""")
+def _ml11_merge(m: Models) -> DataFrame:
+    """A table that lacks a quarter of the documents, holds older texts of another
+    quarter and keys that are gone, brought up to date."""
+    docs = m.table("documents").select("doc_id", "text")
+    before = docs.filter("doc_id % 4 <> 0").withColumn("text", F.when(c("doc_id") % 4 == 1, F.concat(F.lit("old "), "text")).otherwise(c("text")))
+    gone = docs.filter("doc_id % 4 = 2").select((c("doc_id") + 1_000_000_000).alias("doc_id"), "text")
+    path = scratch(m, "embeddings")
+    embed.update_embeddings(m.spark, path, before.unionByName(gone), "text", letter_encoder, "doc_id")
+    out = embed.update_embeddings(m.spark, path, docs, "text", letter_encoder, "doc_id")
+    return out.withColumn("embedding", F.transform("embedding", lambda x: F.round(x.cast("double"), 4)))
+
+
+register("ml11_merge_embeddings", _ml11_merge, """
+    SELECT doc_id, sha256(text) AS digest, text NOT IN (SELECT CASE WHEN doc_id % 4 = 1 THEN 'old ' || text ELSE text END FROM documents WHERE doc_id % 4 <> 0) AS encoded,
+      list_transform(v, lambda x: round((x / CASE WHEN n = 0 THEN 1 ELSE n END)::FLOAT::DOUBLE, 4)) AS embedding FROM (
+      SELECT doc_id, text, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM (
+        SELECT doc_id, text, list_transform(range(0, 26), lambda i:
+          (length(lower(text)) - length(replace(lower(text), chr(CAST(97 + i AS INTEGER)), '')))::DOUBLE) AS v FROM documents))""")
 register("ml12_rule_predict", lambda m: predicted(m).select("key", "pred_issuetype", "pred_resolution"),
          sql("SELECT key, pred_issuetype, pred_resolution FROM predicted"))
 
