@@ -2,11 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tickloom.operators import aggregates as agg, windows
+from tickloom.operators import skew
 from tickloom.operators.skew import separate_hot
 from tickloom.plans import intermediate as mid
 
@@ -102,3 +104,41 @@ def test_changes_hot_equals_plain(spark, hot_limit):
     hot = sorted(map(repr, rows(mid.status_transitions(df)))), rows(mid.escalation(df), "key")
     spark.conf.unset("tickloom.maxGroupRows")
     assert hot == (sorted(map(repr, rows(mid.status_transitions(df)))), rows(mid.escalation(df), "key"))
+
+
+@pytest.mark.parametrize("slots", [8, 4096])
+def test_heavy_keys_are_bounded_from_both_sides(spark, tmp_path, slots):
+    rng = random.Random(1)
+    data = [(rng.choice(["hot", "hot", "warm", None, f"k{rng.randrange(300)}"]), "x" * rng.randrange(50)) for _ in range(6000)]
+    df = spark.createDataFrame(data, "key string, t string").repartition(3)
+    truth = {}
+    for k, t in data:
+        truth[k] = truth.get(k, 0) + len(t) + 64
+    found = skew.heavy_keys(df, "key", ["t"], str(tmp_path / "sketch"), slots)
+    assert len(found.keys) <= slots and found == skew.read_heavy_keys(spark, str(tmp_path / "sketch"), "key", slots)
+    for k, n in found.keys:
+        assert n <= truth[k] <= n + found.missed
+    assert all(n <= found.missed for k, n in truth.items() if k not in dict(found.keys))
+    assert found.missed <= 2 * sum(truth.values()) / slots if slots == 8 else found.missed == 0
+    assert {"hot", None} <= set(found.above(80_000)) and not found.above(10**9)
+
+
+def test_no_job_runs_while_a_plan_is_stated(spark, tmp_path):
+    df = comments(spark)
+    df.write.parquet(str(tmp_path / "comments"))
+    landed = spark.read.parquet(str(tmp_path / "comments"))
+    heavy = skew.heavy_keys(landed, "key", ["comment_body"], str(tmp_path / "sketch"))
+    expected = rows(mid.comments_agg(landed), "key")
+    sc = spark.sparkContext
+    sc.setJobGroup("stated", "")
+    plain = mid.comments_agg(landed, heavy=heavy)
+    # A limit that only the hot issue is above, and one below all of them.
+    limits = []
+    for limit in (max(n for _, n in heavy.keys) - 1, 0):
+        spark.conf.set(skew.MAX_GROUP_BYTES_CONF, str(limit))
+        limits.append(mid.comments_agg(landed, heavy=heavy))
+    spark.conf.unset(skew.MAX_GROUP_BYTES_CONF)
+    assert len(sc.statusTracker().getJobIdsForGroup("stated")) == 0
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    for df in (plain, *limits):
+        assert rows(df, "key") == expected

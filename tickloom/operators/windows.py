@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.skew import (
-    PART, ascending, order_value, same_keys, separate_hot, split_by_order,
+    PART, HeavyKeys, ascending, order_value, same_keys, separate_hot, split_by_order,
 )
 
 
@@ -26,13 +26,14 @@ def first_n(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFra
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def lag_in_order(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, str]) -> DataFrame:
+def lag_in_order(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, str],
+                 heavy: HeavyKeys | None = None) -> DataFrame:
     """Add the previous row's values: ``columns`` maps new name to source column.
 
     A hot group is cut into ranges; the first row of a range takes its values
     from the last row of the range before.
     """
-    cold, hot = separate_hot(df, keys)
+    cold, hot = separate_hot(df, keys, heavy)
     w = Window.partitionBy(*keys).orderBy(*ascending(order))
     result = cold.withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
     if hot is None:
@@ -60,9 +61,9 @@ def lag_in_order(df: DataFrame, keys: list[str], order: list[str], columns: dict
     return result.unionByName(picked)
 
 
-def number_in_order(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+def number_in_order(df: DataFrame, keys: list[str], order: list[str], name: str, heavy: HeavyKeys | None = None) -> DataFrame:
     """Add the row number within the group; hot groups are numbered by ranges."""
-    cold, hot = separate_hot(df, keys)
+    cold, hot = separate_hot(df, keys, heavy)
     w = Window.partitionBy(*keys).orderBy(*ascending(order))
     result = cold.withColumn(name, F.row_number().over(w).cast("bigint"))
     if hot is None:

@@ -15,7 +15,7 @@ from tickloom.functions.text import (
 from tickloom.operators.aggregates import first_by, joined_texts, visible_rows, was_escalated, with_start
 from tickloom.operators.filters import filter_ci
 from tickloom.operators.joins import keep_known, map_label, wide_join
-from tickloom.operators.skew import order_value, separate_hot
+from tickloom.operators.skew import HeavyKeys, order_value, separate_hot
 from tickloom.operators.windows import first_n, lag_in_order
 
 CHANGE_TIES = ["from_string", "to_string", "author"]
@@ -73,12 +73,13 @@ def clean_comments(comments: DataFrame) -> DataFrame:
     return cleaned.withColumn("comment_body", F.when(long_enough, F.col("comment_body")))
 
 
-def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def comments_agg(comments: DataFrame, known: DataFrame | None = None, heavy: HeavyKeys | None = None) -> DataFrame:
     """M-07: one row per issue with the first 3000 characters of its discussion.
 
     Texts and counts come from one pass and one shuffle.  A hot issue takes a
     second way: its counts are combined before the shuffle, and so is the
-    choice of the first comments.  Pass ``known`` unless the comments are
+    choice of the first comments.  ``heavy`` is the sketch of the landed comments,
+    weighed with their bodies.  Pass ``known`` unless the comments are
     restricted to kept issues already.
     """
     order = ["comment_created", "comment_id", "comment_body"]
@@ -94,7 +95,7 @@ def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFra
         df, "key", order, "comment_body", fv.COMMENT_SEPARATOR, fv.COMMENT_LIMIT
     )
 
-    cold, hot = separate_hot(comments, ["key"])
+    cold, hot = separate_hot(comments, ["key"], heavy)
     result = started(clean_comments(cold)).groupBy("key").agg(text, *counts)
     if hot is not None:
         cleaned = clean_comments(hot)
@@ -106,7 +107,7 @@ def comments_agg(comments: DataFrame, known: DataFrame | None = None) -> DataFra
     return result if known is None else keep_known(result, known)
 
 
-def changelog_features(changes: DataFrame, cleaned: DataFrame) -> DataFrame:
+def changelog_features(changes: DataFrame, cleaned: DataFrame, heavy: HeavyKeys | None = None) -> DataFrame:
     """M-08: counts, people, escalation and first assignee per cleaned issue.
 
     Aggregates first: the semi-join then sees one row per issue.  The changes
@@ -122,7 +123,7 @@ def changelog_features(changes: DataFrame, cleaned: DataFrame) -> DataFrame:
         F.count_distinct("author").alias("n_people_involved"),
         F.min_by(F.when(_given(), F.col("to_string")), F.when(_given(), order_value(ASSIGNED_ORDER))).alias("first_assignee"),
     )
-    features = wide_join(keep_known(counts, cleaned), [escalation(changes)])
+    features = wide_join(keep_known(counts, cleaned), [escalation(changes, heavy)])
     return features.select(
         *[n for n in counts.columns if n != "first_assignee"],
         zero_if_null(F.col("was_escalated")).alias("was_escalated"), "first_assignee",
@@ -137,7 +138,7 @@ def _given() -> Column:
     return upper_is(F.col("field"), "ASSIGNEE") & F.col("to_string").isNotNull()
 
 
-def escalation(changes: DataFrame) -> DataFrame:
+def escalation(changes: DataFrame, heavy: HeavyKeys | None = None) -> DataFrame:
     """WIN-03: did the target priority rise from one change to the next?
 
     Compares consecutive targets, so a single change from Minor to Major is 0.
@@ -145,7 +146,7 @@ def escalation(changes: DataFrame) -> DataFrame:
     ranked = filter_ci(changes, "field", ["PRIORITY"]).select(
         "key", "created", *CHANGE_TIES, priority_rank(F.col("to_string")).alias("rank")
     )
-    chained = lag_in_order(ranked, ["key"], ["created", *CHANGE_TIES], {"previous_rank": "rank"})
+    chained = lag_in_order(ranked, ["key"], ["created", *CHANGE_TIES], {"previous_rank": "rank"}, heavy)
     return was_escalated(chained, "key", "rank", "previous_rank")
 
 
@@ -170,10 +171,10 @@ def issuelinks_features(links: DataFrame, known: DataFrame | None = None) -> Dat
     return counts if known is None else keep_known(counts, known)
 
 
-def status_transitions(changes: DataFrame) -> DataFrame:
+def status_transitions(changes: DataFrame, heavy: HeavyKeys | None = None) -> DataFrame:
     """M-10: one row per status change with the hours spent in the state before."""
     moves = filter_ci(changes, "field", ["STATUS"]).filter(F.col("to_string").isNotNull())
-    chained = lag_in_order(moves, ["key"], ["created", *CHANGE_TIES], {"previous": "created"})
+    chained = lag_in_order(moves, ["key"], ["created", *CHANGE_TIES], {"previous": "created"}, heavy)
     from_status = blank_to(F.col("from_string"), "Open")
     hours = dates.hour_diff(F.col("previous"), F.col("created"))
     return chained.select(

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tickloom.functions import fixed_values as fv
+from tickloom.operators.skew import HeavyKeys
 from tickloom.plans import intermediate as mid, marts, staging
 from tickloom.sources import lookups
 from tickloom.sources.parents import load_parent_keys
@@ -26,8 +27,13 @@ class Settings:
 
 
 def build(issues: DataFrame, comments: DataFrame, changelog: DataFrame, issuelinks: DataFrame,
-          parents: DataFrame, settings: Settings, base: str) -> dict[str, DataFrame]:
-    """Build every table under ``base``; returns them by name."""
+          parents: DataFrame, settings: Settings, base: str, heavy: dict[str, HeavyKeys] | None = None) -> dict[str, DataFrame]:
+    """Build every table under ``base``; returns them by name.
+
+    ``heavy`` holds the sketches of the landed comments and changes, by the
+    names ``comments`` and ``changelog``, where they were made.
+    """
+    heavy = heavy or {}
     spark = issues.sparkSession
     types, resolutions = lookups.issuetype_map(spark), lookups.resolution_map(spark)
     out: dict[str, DataFrame] = {}
@@ -45,10 +51,10 @@ def build(issues: DataFrame, comments: DataFrame, changelog: DataFrame, issuelin
     cleaned = write("intermediate", "issues_cleaned", mid.issues_cleaned(
         stg, types, resolutions, settings.train_before, settings.validation_before))
     analytics = write("intermediate", "issues_analytics", mid.issues_analytics(stg, types, resolutions, settings.as_of))
-    discussion = write("intermediate", "comments_aggregated", mid.comments_agg(notes))
-    features = write("intermediate", "changelog_features", mid.changelog_features(changes, cleaned))
+    discussion = write("intermediate", "comments_aggregated", mid.comments_agg(notes, heavy=heavy.get("comments")))
+    features = write("intermediate", "changelog_features", mid.changelog_features(changes, cleaned, heavy.get("changelog")))
     link_counts = write("intermediate", "issuelinks_features", mid.issuelinks_features(links))
-    transitions = write("intermediate", "status_transitions", mid.status_transitions(changes))
+    transitions = write("intermediate", "status_transitions", mid.status_transitions(changes, heavy.get("changelog")))
     daily = write("intermediate", "daily_activity", mid.daily_activity(analytics, changes))
     assigned = write("intermediate", "fix_versions", mid.fix_versions(changes, analytics))
 

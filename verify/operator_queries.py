@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import dates, fixed_values as fv, labels, numbers, text
 from tickloom.operators import aggregates as agg, filters, joins, ordering, quality, windows
-from tickloom.operators.skew import MAX_GROUP_ROWS_CONF
+from tickloom.operators.skew import MAX_GROUP_BYTES_CONF, MAX_GROUP_ROWS_CONF, ROW_BYTES, heavy_keys
 from tickloom.plans import data_tests, eda, intermediate as mid, pipeline
 from tickloom.session import checkpoint_dir
 from tickloom.sources import delimited, lookups, parents, tables
@@ -338,7 +338,7 @@ register("win01_dedup", lambda m: windows.dedup(m.raw_issues().select("key", "id
          sql("SELECT key, id, summary FROM raw_issues QUALIFY row_number() OVER (PARTITION BY key ORDER BY id) = 1"))
 register("win02_sequence", lambda m: windows.number_in_order(
     m.stg_changelog().select("key", "created", "from_string", "to_string", "author"), ["key"],
-    ["created", *mid.CHANGE_TIES], "change_order"),
+    ["created", *mid.CHANGE_TIES], "change_order", m.heavy("changelog")),
     sql(f"""SELECT key, created, from_string, to_string, author,
             row_number() OVER (PARTITION BY key ORDER BY created NULLS LAST, {TIES}) AS change_order FROM stg_changelog"""))
 register("win03_was_escalated", lambda m: m.stg_changelog().select("key").distinct().join(
@@ -571,17 +571,33 @@ register("eda05_monthly_summary", lambda m: eda.monthly_summary(m.ops(), m.stg_i
 
 HOT_ROWS = 20
 
+# The sketch itself: counters for few keys, so that weights are taken away; every heavy key stays, within its bounds.
+
+
+def _heavy_sketch(m: Models) -> DataFrame:
+    lines = m.table("lineitem").withColumn("k", F.when(c("l_orderkey") % 3 > 0, c("l_orderkey") % 7).otherwise(c("l_orderkey") + 7))
+    found = heavy_keys(lines, "k", ["l_returnflag"], scratch(m, "heavy"), slots=64)
+    bounds = m.spark.createDataFrame(list(found.keys), "k bigint, bytes bigint").filter(c("k") < 7)
+    truth = lines.filter(c("l_orderkey") % 3 > 0).groupBy("k").agg(F.sum(F.octet_length("l_returnflag") + ROW_BYTES).alias("true_bytes"))
+    return truth.join(bounds, "k", "left").select(
+        "k", "true_bytes", ((c("bytes") <= c("true_bytes")) & (c("bytes") + found.missed >= c("true_bytes"))).alias("within"))
+
+
 
 def _hot(name: str):
     def build(m: Models) -> DataFrame:
         m.spark.conf.set(MAX_GROUP_ROWS_CONF, str(HOT_ROWS))
+        m.spark.conf.set(MAX_GROUP_BYTES_CONF, str(HOT_ROWS * ROW_BYTES))
         try:  # the limit is read while the plan is stated
             return QUERIES[name](m.spark, m.sf_dir)
         finally:
             m.spark.conf.unset(MAX_GROUP_ROWS_CONF)
+            m.spark.conf.unset(MAX_GROUP_BYTES_CONF)
 
     return build
 
 
+register("skew_heavy_keys", _heavy_sketch, f"""SELECT l_orderkey % 7 AS k, CAST(sum(strlen(l_returnflag) + {ROW_BYTES}) AS BIGINT) AS true_bytes, true AS within
+    FROM lineitem WHERE l_orderkey % 3 > 0 GROUP BY 1""")
 for _name in ("m07_comments_aggregated", "m10_status_transitions", "win02_sequence", "win05_previous_time"):
     register(f"{_name}_hot", _hot(_name), ORACLE[_name])

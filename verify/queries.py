@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators.skew import HeavyKeys, heavy_keys
 from tickloom.plans import intermediate as mid, marts, staging
 from tickloom.session import checkpoint_dir, configure
 from tickloom.sources import lookups
@@ -22,6 +23,9 @@ ORACLE: dict[str, str] = {}
 # The column all jobs filter the raw changes on.
 FILTERED = {"changelog": "field_norm"}
 LANDED: dict[tuple[str, str, str], DataFrame] = {}
+HEAVY: dict[tuple[str, str, str], HeavyKeys] = {}
+# Texts that a group takes into a task.
+WEIGHED = {"comments": ["comment_body"], "changelog": ["fromstring", "tostring"]}
 
 
 class Models:
@@ -47,6 +51,15 @@ class Models:
             raw = with_field_norm(build(self.spark, self.sf_dir))
             LANDED[place] = write_table(raw, path, sort_by=FILTERED.get(name))
         return LANDED[place]
+    def heavy(self, name: str):
+        """The sketch of a landed table's keys, made once beside it."""
+        table = getattr(self, f"raw_{name}")()
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if place not in HEAVY:
+            path = f"{checkpoint_dir(self.spark)}/landed/{uuid.uuid4().hex}/{name}-heavy"
+            HEAVY[place] = heavy_keys(table, "key", WEIGHED[name], path)
+        return HEAVY[place]
+
     def types(self): return lookups.issuetype_map(self.spark)
     def resolutions(self): return lookups.resolution_map(self.spark)
 
@@ -63,10 +76,10 @@ class Models:
     def analytics(self):
         return mid.issues_analytics(self.stg_issues(), self.types(), self.resolutions(), ad.AS_OF)
 
-    def comments(self): return mid.comments_agg(self.stg_comments())
-    def changelog_features(self): return mid.changelog_features(self.stg_changelog(), self.cleaned())
+    def comments(self): return mid.comments_agg(self.stg_comments(), heavy=self.heavy("comments"))
+    def changelog_features(self): return mid.changelog_features(self.stg_changelog(), self.cleaned(), self.heavy("changelog"))
     def link_features(self): return mid.issuelinks_features(self.stg_issuelinks())
-    def transitions(self): return mid.status_transitions(self.stg_changelog())
+    def transitions(self): return mid.status_transitions(self.stg_changelog(), self.heavy("changelog"))
     def daily(self): return mid.daily_activity(self.analytics(), self.stg_changelog())
     def fix_versions(self): return mid.fix_versions(self.stg_changelog(), self.analytics())
     def parents(self): return load_parent_keys(self.raw_parents())
