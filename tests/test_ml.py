@@ -35,6 +35,40 @@ def test_oversample(spark):
     assert sorted(rows(got)) == sorted(rows(features.oversample(df, "l")))
 
 
+@pytest.mark.parametrize("cell", [1000, 2])
+def test_oversampling_takes_the_smallest_hashes_in_few_jobs(spark, monkeypatch, cell):
+    """With all classes in one cell, and with histograms."""
+    import hashlib
+
+    monkeypatch.setattr(features, "CELL_ROWS", cell)
+    labels = ["a"] * 400 + ["b"] * 700 + ["c"] * 70 + ["d"] * 390 + [None] * 30 + ["e"] * 500
+    data = [(f"k{i}", label) for i, label in enumerate(labels)]
+    df = spark.createDataFrame(data, "key string, l string")
+    sc = spark.sparkContext
+    sc.setJobGroup(f"oversample{cell}", "")
+    got = features.oversample(df, "l")
+    jobs = len(sc.statusTracker().getJobIdsForGroup(f"oversample{cell}"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8  # at most four passes; adaptive execution submits each shuffle and its result as jobs of their own
+    median = 395
+    expected = {}
+    for label in set(labels):
+        keys = sorted((k for k, l in data if l == label), key=lambda k: (hashlib.md5(f"{k}#42".encode()).hexdigest(), k))
+        target = max(len(keys), median)
+        for i, k in enumerate(keys):
+            expected[k] = target // len(keys) + (i < target % len(keys))
+    assert {k: n for k, n in rows(got.groupBy("key").count())} == expected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+
+
+def test_oversampling_rows_that_share_a_key(spark):
+    df = spark.createDataFrame([("same", "x")] * 7 + [(None, "y")] * 3 + [(f"k{i}", "z") for i in range(10)], "key string, l string")
+    got = features.oversample(df, "l")
+    assert dict(rows(got.groupBy("l").count())) == {"x": 7, "y": 7, "z": 10}
+    assert features.oversample(df.limit(0), "l").columns == ["key", "l", "copy"]
+
+
 def test_repeat_in_steps(spark):
     df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 6)], "key string, n long")
     got = features._repeat(df, "key", "n", step=3)
