@@ -23,6 +23,16 @@ WEEKDAY = "^(Mon|Tue|Wed|Thu|Fri|Sat|Sun), "
 BARE_TIME = r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?"
 
 
+def _without_weekday(plain: Column) -> Column:
+    return F.when(plain.rlike(WEEKDAY), F.substring(plain, 6, 100)).otherwise(plain)
+
+
+def _month_as_written(dated: Column) -> Column:
+    """The name of the month as in Jan, whatever case it has behind the day and a hyphen or space."""
+    day = F.regexp_extract(dated, "^[0-9]{1,2}[- ]", 0)
+    return F.concat(day, F.initcap(F.substring(dated, F.length(day) + 1, F.length(dated))))
+
+
 def parse_timestamp(text: Column) -> Column:
     """Tolerant parse: NULL when the text is not a dated timestamp.
 
@@ -33,15 +43,11 @@ def parse_timestamp(text: Column) -> Column:
     """
     plain = F.trim(text)
     number = plain.try_cast("bigint")
-    dated = F.regexp_replace(plain, WEEKDAY, "")
-    # The pattern wants the month as in Jan.
-    dated = F.when(dated.rlike("[A-Za-z]{3}"), F.initcap(dated)).otherwise(dated)
+    dated = _without_weekday(plain)
     found = F.when(plain.like("____-%"), F.try_to_timestamp(text))
     found = found.when(plain.rlike("^[0-9]{9,10}$"), F.timestamp_seconds(number)).when(plain.rlike("^[0-9]{12,13}$"), F.timestamp_millis(number))
     for form, pattern in FORMS:
-        # Months that stand between hyphens are no words of their own.
-        value = F.concat(F.regexp_extract(dated, "^[0-9]{1,2}-", 0), F.initcap(F.regexp_replace(dated, "^[0-9]{1,2}-", ""))) if "-MMM" in pattern else dated
-        found = found.when(dated.rlike(form), F.try_to_timestamp(value, F.lit(pattern)))
+        found = found.when(dated.rlike(form), F.try_to_timestamp(_month_as_written(dated) if "MMM" in pattern else dated, F.lit(pattern)))
     return found
 
 
@@ -51,7 +57,7 @@ def parse_dated(text: Column) -> Column:
     A NULL, empty or blank text has neither.
     """
     value, plain = parse_timestamp(text), F.trim(text)
-    dated = F.regexp_replace(plain, WEEKDAY, "")
+    dated = _without_weekday(plain)
     known = plain.like("____-%") | plain.rlike("^([0-9]{8,10}|[0-9]{12,13})$")
     for form, _ in FORMS:
         known |= dated.rlike(form)
