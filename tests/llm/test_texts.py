@@ -44,8 +44,46 @@ def test_host_with_many_failures_is_rejected_and_a_small_one_is_shrunk(spark, do
     got = by_id(quality_rules.judged(rows))
     assert got[1]["kept"] and not got[1]["host_rejected"]
     assert got[1195]["host_rejected"] and not got[1195]["kept"] and not got[1195]["soft_failed"]
-    assert got[2001]["kept"] and not got[2000]["kept"]
+    # Beyond the base rules only hosts decide; what a document itself fails is told.
+    assert got[2001]["kept"] and got[2000]["kept"] and got[2000]["soft_failed"]
     assert got[3000]["kept"]
+    assert quality_rules.report(rows.limit(0)).count() == 0
+
+
+def test_hosts_decide_on_documents(spark):
+    """Documents of the test tables, those with many symbols mostly from two hosts; verdicts against plain Python."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").toPandas()
+    rows = []
+    for doc_id, text in zip(table["doc_id"].tolist(), table["text"].tolist()):
+        bad = 10 * len(re.findall(r"[#*$%&|<>]", text or "")) > len(WORD.findall(text or ""))
+        rows.append((doc_id, text, f"bad{doc_id % 2}" if bad and doc_id % 8 or doc_id % 50 == 0 else f"host{doc_id % 12}"))
+    got = by_id(quality_rules.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    fails, docs_of = {}, Counter(host for _, _, host in rows)
+    for doc_id, text, host in rows:
+        n, chars, symbols, dup, repeat, lines = quality_rules.measure(text.encode() if text is not None else None)
+        fails[doc_id] = (n < 50, 100 * repeat > 50 * n, 10 * symbols > n, 10 * dup > 3 * lines, chars < 3 * n or chars > 10 * n)
+    rejected = set()
+    for rule in range(5):
+        of = {h: sum(fails[i][rule] for i, _, host in rows if host == h) for h in docs_of}
+        total, all_ = sum(of.values()), len(rows)
+        mean = min(max(total / all_, 1e-6), 1 - 1e-6)
+        chance = mean * (1 - mean)
+        spread = sum(docs_of[h] * (of[h] / docs_of[h] - total / all_) ** 2 for h in of) / all_
+        between = max(spread - chance * (len(of) - 1) / all_, chance * 1e-6)
+        strength = min(max(chance / between - 1, 2), 1e6)
+        for h in of:
+            m = docs_of[h] + strength
+            rate = (of[h] + mean * strength) / m
+            if rate - 2 * (rate * (1 - rate) / (m + 1)) ** 0.5 > min(0.5, max(2 * total / all_, 0.1)):
+                rejected.add(h)
+    assert rejected == {"bad0", "bad1"}
+    decided = 0
+    for doc_id, _, host in rows:
+        base = fails[doc_id][0] or fails[doc_id][1]
+        assert (got[doc_id]["base_failed"], got[doc_id]["host_rejected"]) == (base, host in rejected)
+        assert got[doc_id]["kept"] == (not base and host not in rejected)
+        decided += not base and not got[doc_id]["soft_failed"] and host in rejected
+    assert decided  # documents without a failure of their own go with their host
 
 
 def test_prior_by_moments():

@@ -3,13 +3,18 @@
 Every document is measured and held against a few rules.  Failures are counted
 per host and rule; a beta distribution fitted to all hosts by moments is the
 prior that shrinks the rate of each host, so that a host with few documents
-lies near the rate of all.  A host whose shrunk rate is surely above a rule's
-limit is rejected; its verdict is joined back to its documents.
+lies near the rate of all.  A host is rejected when the shrunk rate of a rule
+is surely above that rule's bar: ``TIMES`` the rate of all documents, but not
+less than ``LEAST`` and not more than ``LIMIT``.  Its verdict is joined back to
+its documents and is the only one beyond the base rules: a document that fails
+the other rules stays where its host is good, and goes with a bad host even
+where it fails none.  Hosts that differ by chance only are shrunk to one rate
+and all stay.
 
 Defined results: NULL and empty texts have no words and fail the base rule;
 a NULL host is a host of its own; repeated documents count once per row; a
-host whose documents fail only the base rules is judged like any other; other
-columns pass through, whatever their names.
+host whose documents fail only the base rules is judged like any other; an
+empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,9 +29,9 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 MEASURED = T.StructType([T.StructField(n, T.LongType()) for n in MEASURES])
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
-# A host is rejected when its shrunk rate less this many standard deviations is above the limit.
+# A host is rejected when its shrunk rate less SURE standard deviations is above the bar of a rule.
 SURE = 2.0
-LIMIT = 0.5
+TIMES, LEAST, LIMIT = 2.0, 0.1, 0.5
 
 
 def measure(text: bytes | None) -> tuple[int, ...]:
@@ -99,7 +104,9 @@ def host_verdicts(docs: DataFrame, measures: str, host: str, limit: float = LIMI
         total = F.col("n_docs") + a + b
         rate = (F.col(rule) + a) / total
         columns.append(rate.alias(f"rate_{rule}"))
-        bad = bad | (rate - SURE * F.sqrt(rate * (1 - rate) / (total + 1)) > limit)
+        mean = (sums[f"{rule}_sum"] or 0) / max(sums["docs"] or 0, 1)
+        bar = min(limit, max(TIMES * mean, LEAST))
+        bad = bad | (rate - SURE * F.sqrt(rate * (1 - rate) / (total + 1)) > bar)
     return counts.select("host", "n_docs", *columns, bad.alias("rejected"))
 
 
@@ -127,7 +134,7 @@ def judged(docs: DataFrame, host: str = "source", limit: float = LIMIT) -> DataF
     return rows.join(verdicts, F.col("host").eqNullSafe(F.col("of")), "left").select(
         "doc_id", *[m[n].alias(n) for n in MEASURES], base.alias("base_failed"), soft.alias("soft_failed"),
         F.col("rejected").alias("host_rejected"),
-        (~base & ~soft & ~F.col("rejected")).alias("kept"))
+        (~base & ~F.col("rejected")).alias("kept"))
 
 
 def report(docs: DataFrame) -> DataFrame:
