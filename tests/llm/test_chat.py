@@ -25,6 +25,20 @@ def test_examples_expand_every_reply_and_read_back(spark):
     assert chat.examples(table.limit(0)).count() == 0
 
 
+def test_long_conversation_forms_one_prefix_at_a_time(spark):
+    n = 3000
+    rows = spark.range(n).selectExpr("5L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('t#', id) AS text")
+    got = chat.report(rows).collect()[0]
+    texts = [f"t#{i}" for i in range(n)]
+    sizes = [len(f"### {('user', 'assistant')[i % 2]}: {t} </turn>\n") + 1 for i, t in enumerate(texts)]
+    loss = "".join(texts[1::2])
+    assert (got["n_turns"], got["loss_chars"], got["loss_sha256"]) == (n, len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert got["formatted_chars"] == sum(sum(sizes[:k + 1]) for k in range(1, n, 2))
+    # The explode is over positions; prefixes are formed above it.
+    plan = chat.examples(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("array_join") < plan.index("Generate explode")
+
+
 def test_no_python_on_the_main_path(spark):
     table = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = chat.report(table)._jdf.queryExecution().executedPlan().toString()

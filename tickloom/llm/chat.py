@@ -53,25 +53,27 @@ def conversations(rows: DataFrame) -> DataFrame:
 
 def examples(rows: DataFrame) -> DataFrame:
     """conv_id, target (position of the reply from 1, NULL without one), n_turns,
-    formatted, loss_start, loss_end (code points, end exclusive)."""
+    complete (are all turns of the conversation in it?), formatted, loss_start,
+    loss_end (code points, end exclusive).
+
+    A row is made for each position first, and its prefix is formed from the turns
+    it points into: a task holds one example at a time, however many a conversation has."""
     turns = F.col("turns")
+    at = F.sequence(F.lit(1), F.size("turns"))
+    place = lambda target, k: F.struct(target.cast("int").alias("target"), k.cast("int").alias("k"))
+    replies = F.transform(F.filter(at, lambda k: F.element_at(turns, k)["role"] == ASSISTANT), lambda k: place(k, k))
+    rest = F.when(F.element_at(turns, -1)["role"] != ASSISTANT, F.array(place(F.lit(None), F.size("turns")))).otherwise(F.array())
     whole = F.transform(turns, lambda t: F.concat(t["head"], t["body"], F.lit(END)))
-    formed = conversations(rows).select("conv_id", "turns", whole.alias("whole"))
+    places = conversations(rows).select("conv_id", "turns", whole.alias("whole"), F.explode(F.concat(replies, rest)).alias("p"))
 
-    def example(target: Column, k: Column) -> Column:
-        before = F.array_join(F.slice("whole", F.lit(1), k - 1), "")
-        start = F.length(before) + F.length(F.element_at(turns, k)["head"])
-        end = start + F.length(F.element_at(turns, k)["body"])
-        return F.struct(
-            target.cast("int").alias("target"), k.cast("int").alias("n_turns"),
-            F.concat(before, F.element_at("whole", k)).alias("formatted"),
-            F.when(target.isNotNull(), start).alias("loss_start"), F.when(target.isNotNull(), end).alias("loss_end"))
-
-    at = F.sequence(F.lit(1), F.size("turns"))
-    replies = F.transform(
-        F.filter(at, lambda k: F.element_at(turns, k)["role"] == ASSISTANT), lambda k: example(k, k))
-    rest = F.when(F.element_at(turns, -1)["role"] != ASSISTANT, F.array(example(F.lit(None).cast("int"), F.size("turns")))).otherwise(F.array())
-    return formed.select("conv_id", F.explode(F.concat(replies, rest)).alias("e")).select("conv_id", "e.*")
+    target, k = F.col("p")["target"], F.col("p")["k"]
+    before = F.array_join(F.slice("whole", F.lit(1), k - 1), "")
+    start = F.length(before) + F.length(F.element_at(turns, k)["head"])
+    end = start + F.length(F.element_at(turns, k)["body"])
+    return places.select(
+        "conv_id", target.alias("target"), k.alias("n_turns"), (k == F.size("turns")).alias("complete"),
+        F.concat(before, F.element_at("whole", k)).alias("formatted"),
+        F.when(target.isNotNull(), start).alias("loss_start"), F.when(target.isNotNull(), end).alias("loss_end"))
 
 
 def loss_text(formatted: Column, start: Column, end: Column) -> Column:
@@ -92,10 +94,15 @@ def report(rows: DataFrame) -> DataFrame:
     turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     found = examples(rows)
     loss = loss_text(F.col("formatted"), F.col("loss_start"), F.col("loss_end"))
-    per = found.groupBy("conv_id").agg(
-        F.max_by("formatted", "n_turns").alias("longest"),
-        F.sort_array(F.collect_list(F.when(F.col("target").isNotNull(), F.struct("target", loss.alias("text"))))).alias("replies"),
-        F.sum(F.length("formatted").cast("long")).alias("formatted_chars"))
+    # Of each example only what is read back from it goes on: the reply, the length, and
+    # all turns where it holds them, so what is gathered grows with the conversation, not with its square.
+    read = found.select(
+        "conv_id", F.when(F.col("complete"), F.col("formatted")).alias("longest"),
+        F.when(F.col("target").isNotNull(), F.struct("target", loss.alias("text"))).alias("reply"),
+        F.length("formatted").cast("long").alias("chars"))
+    per = read.groupBy("conv_id").agg(
+        F.max("longest").alias("longest"), F.sort_array(F.collect_list("reply")).alias("replies"),
+        F.sum("chars").alias("formatted_chars"))
     turns = per.select("conv_id", "formatted_chars", read_back(F.col("longest")).alias("turns"),
                        F.array_join(F.transform("replies", lambda r: r["text"]), "").alias("loss"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
