@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import by_id
@@ -74,6 +75,20 @@ def test_null_ids_repeated_rows_and_empty_tables(spark, docs):
     assert minhash.deduplicate(docs([])).count() == 0
 
 
+def test_one_id_with_very_many_rows(spark, docs, monkeypatch):
+    """Copies of a row are compared once; different texts of an id are spread over blocks."""
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", 20)
+    text, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "vu")
+    near = text + " tail"
+    varied = [(4, " ".join(f"v{i}" if i != k else "x" for i in range(60))) for k in range(0, 60)]
+    rows = docs([(1, text)] * 3000 + [(2, near), (6, None), (6, other), (7, ""), (7, other + " end"), (3, other + " tail")] + varied)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.grouped(rows).where("n_shingles > 0").collect()}
+    assert got == {1: 1, 2: 1, 4: 1, 6: 3, 7: 3, 3: 3}
+    # The two texts without words of different ids tie nothing together.
+    table = pa.table({"id": [1, 1, 2, 2], "text": [text.encode(), None, other.encode(), b""]})
+    assert minhash._edges(False)(table).num_rows == 0
+
+
 def test_sketch_fills_all_bins_and_is_unbiased():
     rng = np.random.default_rng(3)
     agree = []

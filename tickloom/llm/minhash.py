@@ -175,9 +175,14 @@ def _edges(across: bool):
         words = Words()
         ids = table["id"].to_numpy()
         sets = [shingles(t, words) for t in table["text"].to_pylist()]
+        # A text without words, which a repeated id may have besides, links with nothing.
+        full = np.array([len(s) > 0 for s in sets], bool)
+        ids, sets = ids[full], [s for s in sets if len(s)]
+        if not sets:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         links = linked(sets)
         if across:
-            minor = table["minor"].to_numpy(zero_copy_only=False)
+            minor = table["minor"].to_numpy(zero_copy_only=False)[full]
             links &= minor[:, None] | minor[None, :]
         found = np.array(forest(links), np.int64).reshape(-1, 2)
         return pa.table({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
@@ -223,23 +228,32 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     return components(rows.join(buckets, ["band", "key"]).select(F.col("first").alias("a"), F.col("id").alias("b")))
 
 
-def confirmed_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def confirmed_links(docs: DataFrame, classes: DataFrame, repeated: DataFrame) -> DataFrame:
     """Edges (a, b) whose components are those of all links, from texts of docs
-    and the table of classes (id, n, bands)."""
+    and the table of classes (id, n, bands).  Ids in repeated (id) have several rows:
+    each of their different texts counts once, and has a block of its own choice."""
     groups = candidate_groups(classes)
     sized = groups.join(classes.select("id", "n"), "id")
     blocks = sized.groupBy("component").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    chance = F.xxhash64("id")
-    members = written(groups.join(blocks, "component").select(
-        "id", "component", "blocks", F.pmod(chance, F.col("blocks")).cast("int").alias("block")))
-    texts = written(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-                    .join(members.select("id").distinct(), "id"))
+    placed = written(sized.groupBy("id", "component").agg(F.max("n").alias("n")).join(blocks, "component"))
+    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
+    part = F.lit(0).cast("long").alias("part")
+    if repeated.isEmpty():
+        texts = written(texts.join(placed.select("id"), "id").select("id", part, "text"))
+        members = placed.withColumn("part", part)
+    else:
+        again = placed.select("id").join(repeated.withColumn("again", F.lit(True)), "id", "left")
+        read = written(texts.join(again, "id"))
+        once = read.where("again").select("id", "text").distinct().select("id", F.xxhash64("text").alias("part"), "text")
+        texts = written(read.where("again IS NULL").select("id", part, "text").unionByName(once))
+        members = placed.join(texts.select("id", "part"), "id")
+    members = written(members.withColumn("block", F.pmod(F.xxhash64("id", "part"), F.col("blocks")).cast("int")))
     # Each document is in its block; the pivots of a group are in all its blocks.
-    pivot = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks") * BLOCK_DOCS) < PIVOTS
+    pivot = F.pmod(F.xxhash64("id", "part", F.lit(1)), F.col("blocks") * BLOCK_DOCS) < PIVOTS
     own = F.when((F.col("blocks") > 1) & pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-    inside = members.select("id", "component", F.explode(own).alias("block"))
-    edges = written(inside.join(texts, "id").groupBy("component", "block").applyInArrow(_edges(False), EDGES))
+    inside = members.select("id", "part", "component", F.explode(own).alias("block"))
+    edges = written(inside.join(texts, ["id", "part"]).groupBy("component", "block").applyInArrow(_edges(False), EDGES))
     large = members.where("blocks > 1")
     if large.isEmpty():
         return edges
@@ -250,21 +264,23 @@ def _across_blocks(members: DataFrame, texts: DataFrame, edges: DataFrame) -> Da
     """Links of large groups between the largest class that is known so far and the rest, and within the rest."""
     known = components(edges.join(members.select(F.col("id").alias("a")), "a", "left_semi"))
     state = members.join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    sizes = state.groupBy("component", "label").agg(F.count(F.lit(1)).alias("size"))
+    sizes = state.groupBy("component", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
     largest = sizes.groupBy("component").agg(
-        F.max(F.struct("size", "label"))["label"].alias("major"), F.sum("size").alias("all"), F.max("size").alias("most"))
-    minors = largest.where(F.col("all") > F.col("most")).select(
-        "component", "major", F.ceil((F.col("all") - F.col("most")) / BLOCK_DOCS).cast("int").alias("minor_blocks"))
+        F.max(F.struct("size", "label", "shingles")).alias("most"), F.sum("size").alias("all"), F.sum("shingles").alias("all_shingles"))
+    stray, stray_shingles = F.col("all") - F.col("most")["size"], F.col("all_shingles") - F.col("most")["shingles"]
+    minors = largest.where(stray > 0).select(
+        "component", F.col("most")["label"].alias("major"),
+        F.greatest(F.ceil(stray / BLOCK_DOCS), F.ceil(stray_shingles / BLOCK_SHINGLES)).cast("int").alias("minor_blocks"))
     state = written(state.join(minors, "component").withColumn("minor", F.col("label") != F.col("major")))
     # A minor document, in one of minor_blocks rows, meets every block; each block is there once a row.
-    row = F.pmod(F.xxhash64("id", F.lit(2)), F.col("minor_blocks")).cast("int")
-    put = state.where("minor").select("id", "component", "minor", row.alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    met = state.select("id", "component", "minor", "block", "minor_blocks", row.alias("own")).withColumn(
-        "row", F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)))
+    row = F.pmod(F.xxhash64("id", "part", F.lit(2)), F.col("minor_blocks")).cast("int")
+    names = ["id", "part", "component", "minor", "row", "block"]
+    put = state.where("minor").withColumn("row", row).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = state.withColumn("own", row).withColumn("row", F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)))
     # A minor document that lies in this block and this row has been put there already.
     met = met.where(~(F.col("minor") & (F.col("own") == F.col("row"))))
-    grid = put.select("id", "component", "minor", "row", "block").unionByName(met.select("id", "component", "minor", "row", "block"))
-    return grid.join(texts, "id").groupBy("component", "row", "block").applyInArrow(_edges(True), EDGES)
+    grid = put.select(*names).unionByName(met.select(*names))
+    return grid.join(texts, ["id", "part"]).groupBy("component", "row", "block").applyInArrow(_edges(True), EDGES)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -278,7 +294,9 @@ def grouped(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     classes = copies.select("id", "n", "bands")
     repeated = copies.where("copies > 1").select("digest", "id")
-    links = confirmed_links(narrow, classes)
+    again = written(rows.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("rows")).where("rows > 1").select("id"))
+    links = confirmed_links(narrow, classes, again)
     # Rows with one doc_id in different classes tie those classes together.
     ties = full.join(repeated, "digest").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     same = full.groupBy("doc_id").agg(F.count_distinct("digest").alias("sets")).where("sets > 1").select("doc_id")
