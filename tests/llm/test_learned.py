@@ -185,3 +185,30 @@ def test_language_model_of_empty_tables(spark, docs):
     assert language_model.report(docs([])).count() == 0
     rows = language_model.report(docs([(3, "only held out")])).collect() if part(3, 5) == 1 else []
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in rows)
+
+
+def test_character_counts_cover_all_documents(spark, docs):
+    """Against plain loops; a word of letters counts once a document, labelled or not."""
+    texts = ["the The cat!", "the éa", None, "", "a1 b", "cat", "caaat"]
+    expected = Counter()
+    for text in texts:
+        for word in {w for w in (text or "").lower().split() if w.isalpha() and w != "caaat"}:
+            code = 0
+            for s in [*map(toxicity.symbol, word), 0]:
+                code = code % toxicity.SYMBOLS**3 * toxicity.SYMBOLS + s
+                expected[code] += 1
+    table = toxicity.character_counts(docs(texts))
+    assert {int(i): int(table[i]) for i in np.flatnonzero(table)} == expected
+    assert toxicity.character_counts(docs([])).sum() == 0
+    assert np.allclose(np.exp(-toxicity.character_costs(table, {"moron": 1.0})).sum(-1), 1, atol=1e-4)
+
+
+def test_pipeline_and_report_reject_the_same_documents(spark, docs, words, monkeypatch):
+    """Also where the bound on calibrating rows is reached."""
+    monkeypatch.setattr(toxicity, "MOST_LABELLED", 60)
+    rnd = random.Random(5)
+    texts = [(i, " ".join(rnd.choice(words) for _ in range(30)) + (" moron idiot" if i % 4 == 0 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in texts], "doc_id long, quality int, toxic int")
+    rejected = {r["doc_id"] for r in toxicity.report(docs(texts), labels).where("predicted = 1").collect()}
+    kept = {r["doc_id"] for r in toxicity.keep_clean(docs(texts), labels).collect()}
+    assert rejected and kept == {i for i, _ in texts} - rejected

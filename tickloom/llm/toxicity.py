@@ -16,8 +16,9 @@ log odds is turned into a probability by a rising step curve, calibrated on
 labelled rows that taught no words.
 
 Words are learned from at most ``MOST_LABELLED`` labelled rows (documented
-bound, chosen by a hash) of three quarters of the training rows; the other
-quarter calibrates; scores cover all rows.
+bound, chosen by a hash) of three quarters of the training rows; of the other
+quarter at most as many calibrate, the same rows in every use; the character
+model counts the words of all documents; scores cover all rows.
 
 Defined results: NULL and empty texts get the score of a text without any
 telling word; without labels every score is the prior of one half; a label is
@@ -28,6 +29,7 @@ row; other columns pass through, whatever their names.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F, types as T
 
 from tickloom.llm.common import aggregated_in_tasks, free_name, per_text, prepare, written
-from tickloom.llm.labelled import bounded_sample, of_sample, part_of, unique_labels, word_counter
+from tickloom.llm.labelled import HELD_WORDS, bounded_sample, of_sample, part_of, unique_labels, word_counter
 from tickloom.llm.minhash import Words, shingles
 
 MOST_LABELLED = 60_000
@@ -224,44 +226,64 @@ def without_copies(docs: DataFrame, sample: DataFrame) -> DataFrame:
     return sample.join(keyed.groupBy("k.least").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "doc_id", "left_semi")
 
 
-def character_costs(counts: DataFrame, telling: dict[str, float]) -> np.ndarray:
-    """Costs (-ln p) of a character model of ORDER over all counted words, the
-    shorter orders mixed in; each telling word counts as one more word in a
-    thousand, so that a restored word can be one the lists know."""
-    codes = SYMBOLS ** ORDER
+def gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the character ORDER-grams of words, each with its end, and the number of the word of each."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    letters = np.frombuffer("".join(w + "\n" for w in words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    symbols = np.where((letters >= 97) & (letters <= 122), letters - 96, np.where(letters == 10, 0, SYMBOLS - 1))
+    place = np.arange(len(letters)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    code = symbols.copy()
+    for back in range(1, ORDER):  # before the start of a word stand ends
+        code[back:] += np.where(place[back:] >= back, symbols[:-back], 0) * SYMBOLS ** back
+    return code, np.repeat(np.arange(len(words)), lengths)
 
-    def grams(word: bytes) -> list[int]:
-        out, code = [], 0
-        for c in [*map(symbol, word.decode()), 0]:
-            code = code % (codes // SYMBOLS) * SYMBOLS + c
-            out.append(code)
-        return out
+
+def character_counts(docs: DataFrame) -> np.ndarray:
+    """How often each ORDER-gram of characters is in the words of letters, none three times
+    in a row, of all documents, a word once a document.  Tasks hold a table of fixed size."""
+    codes = SYMBOLS ** ORDER
 
     def start():
-        sums = np.zeros(codes)
+        sums, words = np.zeros(codes), Counter()
+
+        def add():
+            plain = [w for w in words if not THRICE.search(w)]  # a stretched word is no language
+            if plain:
+                code, of = gram_codes(plain)
+                np.add(sums, np.bincount(code, np.array([words[w] for w in plain], float)[of], codes), out=sums)
+            words.clear()
 
         def take(batch):
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if word.decode().isalpha():
-                    np.add.at(sums, grams(word), n)
+            for raw in batch.column(0).to_pylist():
+                words.update(filter(str.isalpha, set(_text(raw).lower().split())))
+                if len(words) > HELD_WORDS:
+                    add()
 
         def give(end):
+            if not end:
+                return None
+            add()
             at = np.flatnonzero(sums)
-            if not end or not len(at):
+            if not len(at):
                 return None
             return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.float64())], names=["gram", "n"])
 
         return take, give
 
-    gathered = aggregated_in_tasks(counts.select("word", "docs"), "gram long, n double", start)
-    table = np.zeros(codes)  # bounded: SYMBOLS ** ORDER sums of whole numbers
-    for r in gathered.groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        table[r["gram"]] = r["n"]
+    gathered = aggregated_in_tasks(docs.select(F.col("text").cast("binary").alias("text")), "gram long, n double", start)
+    found = gathered.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # at most SYMBOLS ** ORDER rows
+    table = np.zeros(codes)
+    table[found["gram"].to_numpy()] = found["n"].to_numpy()
+    return table
+
+
+def character_costs(table: np.ndarray, telling: dict[str, float]) -> np.ndarray:
+    """Costs (-ln p) of a character model of ORDER over counts of ORDER-grams, the
+    shorter orders mixed in; each telling word counts as one more word in a
+    thousand, so that a restored word can be one the lists know."""
     extra = table.sum() / 1000 / max(1, sum(map(len, telling)))
-    for word, odds in telling.items():
-        if odds > 0 and word.isalpha():
-            np.add.at(table, grams(word.encode()), extra)
-    table = table.reshape((SYMBOLS,) * ORDER)
+    more = [w for w, odds in telling.items() if odds > 0 and w.isalpha()]
+    table = (table + extra * np.bincount(gram_codes(more)[0], minlength=len(table))).reshape((SYMBOLS,) * ORDER)
     p = np.full(SYMBOLS, 1 / SYMBOLS)
     for order in range(1, ORDER + 1):  # Witten-Bell mixing from short to long histories
         n = table.sum(axis=tuple(range(ORDER - order))) if order < ORDER else table
@@ -319,7 +341,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     counts = written(word_labels(of_sample(docs.select("doc_id", "text"), sample)))
     of = of_sample(docs.select("doc_id"), sample).agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).first()
     telling = telling_words(counts, of["n"], of["t"] or 0)
-    return Model(character_costs(counts, telling), telling, known_words(counts, telling))
+    return Model(character_costs(character_counts(docs), telling), telling, known_words(counts, telling))
 
 
 FOUND = T.StructType([T.StructField("sum", T.DoubleType()), T.StructField("words", T.ArrayType(T.StringType()))])
@@ -367,9 +389,10 @@ def probability(total: Column, curve: list[tuple[float, float]]) -> Column:
 
 
 def calibrating(labels: DataFrame) -> DataFrame:
-    """The labels that taught no words; all, where there are too few to split."""
+    """The labels that taught no words, at most MOST_LABELLED of them by hash; where
+    there are too few to split, the labels that taught."""
     rest = labels.where(~teaches(F.col("doc_id")))
-    return labels if rest.isEmpty() else rest
+    return bounded_sample(labels if rest.isEmpty() else rest, MOST_LABELLED)
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
@@ -395,7 +418,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> Da
     narrow = docs.select("doc_id", "text")
     # The curve is learned from labelled texts alone, so the other texts are decoded once, for the filter.
     rest = calibrating(known)
-    train = score_words(of_sample(narrow, bounded_sample(rest, MOST_LABELLED).select("doc_id")), model, "r").select("doc_id", "r.sum")
+    train = score_words(of_sample(narrow, rest.select("doc_id")), model, "r").select("doc_id", "r.sum")
     curve = calibration(train, rest)
     name = free_name(docs.columns, "r")
     found = score_words(docs, model, name)
