@@ -315,3 +315,15 @@ def test_columns_with_clashing_names_pass_through(spark, docs):
     table = docs(["a b"]).selectExpr("doc_id", "text", "r as c0", "found as t", "score as `c1`", "source as `a.b`")
     row = per_text(table, "text", "m", MEASURED, _measurer).first()
     assert (row["c0"], row["t"], row["a.b"], row["m"]["n_words"]) == ("x", 1, "s", 2)
+
+
+def test_trusted_check_is_a_prior_that_votes_can_outweigh():
+    """Candidates that all fail the check are no personal data, unless all other labelers contradict."""
+    import numpy as np
+
+    plain = np.array([[-1, 1, 0, 1, 1], [-1, -1, 0, 1, -1]])
+    assert (personal.reliabilities(plain, np.array([500.0, 500.0]), 0) < 0.5).all()
+    mixed = np.array([[1, 1, 0, 1, 1], [-1, -1, -1, -1, -1], [-1, 1, 1, 1, 1]])
+    post = personal.reliabilities(mixed, np.array([5000.0, 5000.0, 20.0]), 0)
+    assert post[0] > 0.9 and post[1] < 0.1 and post[1] < post[2]
+    assert len(personal.reliabilities(np.zeros((0, 5)), np.zeros(0), 0)) == 0

@@ -193,16 +193,29 @@ def vote_counts(docs: DataFrame) -> DataFrame:
     return gathered.groupBy(*names[:-1]).agg(F.sum("n").alias("n"))
 
 
-def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
+TRUST = 10.0  # of the check of a kind that has one
+
+
+def reliabilities(votes: np.ndarray, counts: np.ndarray, trusted: int | None = None, rounds: int = 50) -> np.ndarray:
     """Posterior of "personal data" for each pattern of votes (rows), by
-    expectation-maximisation from the majority vote."""
-    post = 1 / (1 + np.exp(-votes.sum(1)))
+    expectation-maximisation from the majority vote.
+
+    Each labeler starts with one pseudo-vote of each kind in each class.  The one
+    numbered trusted has a stronger prior: TRUST pseudo-votes per candidate, no
+    in the negative class and yes in the positive one, and that weight at the start."""
+    pseudo = np.ones((votes.shape[1], 3, 2))  # labeler, vote, class
+    start = votes.sum(1).astype(float)
+    if trusted is not None:
+        pseudo[trusted, 0, 0] += TRUST * counts.sum()
+        pseudo[trusted, 2, 1] += TRUST * counts.sum()
+        start += TRUST * votes[:, trusted]
+    post = 1 / (1 + np.exp(-start))
     for _ in range(rounds):
         weight = np.stack([(1 - post) * counts, post * counts])
         prior = (weight.sum(1) + 1) / (weight.sum() + 2)
         logs = np.log(prior)[:, None] + np.zeros_like(weight)
-        for column in votes.T:
-            share = np.stack([weight[:, column == v].sum(1) + 1 for v in (-1, 0, 1)])  # with one vote of each more
+        for column, before in zip(votes.T, pseudo):
+            share = np.stack([weight[:, column == v].sum(1) for v in (-1, 0, 1)]) + before
             logs += np.log(share / share.sum(0))[column + 1].T
         new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
         if np.abs(new - post).max(initial=0) < 1e-9:
@@ -226,12 +239,13 @@ def fit(docs: DataFrame, ridge: float = 1.0) -> np.ndarray:
     table = table[np.lexsort(table.T)]
     rows, counts = table[:, :-1], table[:, -1].astype(float)
     post = np.zeros(len(rows))
+    pattern = LABELERS.index("pattern")
     for kind in np.unique(rows[:, 0]):
         of = rows[:, 0] == kind
-        post[of] = reliabilities(rows[of, 1:-1], counts[of])
-    # Where all candidates of a kind vote alike, nothing tells the classes apart:
-    # a failed check without a cue in the context teaches no.
-    post[(rows[:, 1 + LABELERS.index("pattern")] < 0) & (rows[:, 1 + LABELERS.index("context")] <= 0)] = 0.0
+        # Where all candidates of a kind vote alike, nothing tells the classes apart;
+        # so a check that candidates can fail is trusted from the start.
+        checked = (rows[of, 1 + pattern] < 0).any()
+        post[of] = reliabilities(rows[of, 1:-1], counts[of], pattern if checked else None)
     x = features(rows)
     weights = np.zeros(x.shape[1])
     for _ in range(30):  # Newton steps of the ridge regression
