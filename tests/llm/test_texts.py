@@ -326,4 +326,4 @@ def test_trusted_check_is_a_prior_that_votes_can_outweigh():
     mixed = np.array([[1, 1, 0, 1, 1], [-1, -1, -1, -1, -1], [-1, 1, 1, 1, 1]])
     post = personal.reliabilities(mixed, np.array([5000.0, 5000.0, 20.0]), 0)
     assert post[0] > 0.9 and post[1] < 0.1 and post[1] < post[2]
-    assert len(personal.reliabilities(np.zeros((0, 5)), np.zeros(0), 0)) == 0
+    assert len(personal.reliabilities(np.zeros((0, 5), int), np.zeros(0), 0)) == 0
