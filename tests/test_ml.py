@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tickloom.functions import fixed_values as fv
 from tickloom.ml import embed, evaluate, features, neighbours, rules, train
+from tickloom.operators import aggregates, joins
+from tickloom.sources import tables
 
 
 def test_scaler(spark):
@@ -278,3 +280,54 @@ def test_training_beats_majority(spark):
     accuracy = preds.agg(F.avg((F.col("true_issuetype") == F.col("pred_issuetype")).cast("int"))).first()[0]
     assert accuracy > 0.8
     assert rows(preds.select("method", "fix_summary").distinct()) == [("LR_BALANCED", "")]
+
+
+def test_class_totals_are_one_narrow_pass(spark):
+    df = spark.createDataFrame([("b", 2.0), ("a", 0.5), ("b", 1.0), (None, 9.0), ("c", None)], "l string, w double")
+    assert train.class_totals(df, "l") == {"a": 1.0, "b": 2.0, "c": 1.0}
+    assert train.class_totals(df, "l", "w") == {"a": 0.5, "b": 3.0, "c": 0.0}
+    assert train.label_classes(df, "l") == ["a", "b", "c"]
+    assert train.class_totals(df.limit(0), "l") == {}
+
+
+def test_training_table_is_made_once(spark):
+    """Counts, hashes and weights of a written table run nothing of the plan behind it."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(f"k{i}", "abc"[i % 7 % 3]) for i in range(70)], "key string, l string").mapInArrow(count, "key string, l string")
+    once = tables.written_once(df, "train-l")
+    assert made.value == 70
+    weighted = features.with_class_weights(once, "l")
+    assert sum(train.class_totals(weighted, "l", "weight").values()) == pytest.approx(70)
+    assert features.oversample(once, "l").count() >= 70
+    assert made.value == 70
+
+
+def test_checked_broadcast_is_the_side_itself(spark):
+    """The check's own rows are joined; beyond rows or bytes the side is left as it is."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    side = spark.createDataFrame([(1, "x"), (2, None), (None, "y")], "k int, v string").coalesce(1).mapInArrow(count, "k int, v string")
+    small = joins.checked_broadcast(side)
+    assert made.value == 3 and small.schema == side.schema
+    left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    assert rows(left.join(small, "k", "left"), "k") == [(1, "x"), (2, None), (3, None)]
+    assert made.value == 3
+    assert joins.checked_broadcast(side, max_rows=2) is side and joins.checked_broadcast(side, max_bytes=1) is side
+    assert joins.checked_broadcast(side.limit(0)).count() == 0
+
+
+def test_prefix_rate(spark):
+    df = spark.createDataFrame([("a", "[P] x"), ("a", "[N] y"), ("a", None), ("b", "[P]"), (None, "x[P]"), ("c", "")], "kind string, t string")
+    got = rows(aggregates.prefix_rate(df, "kind", "t", "[P]", "pct"))
+    assert got[:2] == [("b", 100.0), ("a", 33.3)] and set(got[2:]) == {(None, 0.0), ("c", 0.0)}

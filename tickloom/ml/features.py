@@ -64,6 +64,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
+    """ML-03: every row beside the weight of its class; the classes are counted once."""
     weights = class_weights(df, label).select(F.col(label).alias("_label"), "weight")
     weights = checked_broadcast(weights)
     return df.join(weights, df[label].eqNullSafe(weights["_label"])).drop("_label")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -13,6 +14,7 @@ from tickloom.functions import fixed_values as fv
 from tickloom.functions.labels import decode_label, encode_label
 from tickloom.functions.numbers import fill_clip
 from tickloom.ml.features import Scaler, assemble, fit_scaler, oversample, request_features, with_class_weights
+from tickloom.sources.tables import written_once
 
 
 @dataclass(frozen=True)
@@ -63,10 +65,16 @@ class LinearClassifier:
             label: decode_label(best, self.classes), confidence: F.round(F.array_max("_p"), 4)}).drop("_p")
 
 
+def class_totals(df: DataFrame, label: str, weight: str | None = None) -> dict[str, float]:
+    """Rows, or the sum of weights, of each class, in alphabetical order: a short list, one value per class."""
+    total = F.sum(weight) if weight else F.count("*")
+    rows = df.filter(F.col(label).isNotNull()).groupBy(label).agg(total.alias("_total")).orderBy(label).collect()
+    return {r[label]: float(r["_total"] or 0) for r in rows}
+
+
 def label_classes(df: DataFrame, label: str) -> list[str]:
-    """Classes in alphabetical order: a short list, one value per class."""
-    rows = df.filter(F.col(label).isNotNull()).groupBy(label).count().orderBy(label).collect()
-    return [r[label] for r in rows]
+    """Classes in alphabetical order."""
+    return list(class_totals(df, label))
 
 
 def fit_lr(df: DataFrame, label: str, C: float = 1.0, weight: str | None = None,
@@ -74,14 +82,16 @@ def fit_lr(df: DataFrame, label: str, C: float = 1.0, weight: str | None = None,
     """ML-05: multinomial logistic regression with an L2 penalty.
 
     ``C`` multiplies a sum of losses and MLlib averages them, hence
-    ``regParam = 1 / (C * sum of weights)``.
+    ``regParam = 1 / (C * sum of weights)``.  Classes and sum come from one pass
+    over label and weight; the fit takes its own.
     """
-    classes = classes or label_classes(df, label)
+    totals = class_totals(df, label, weight)
+    classes = classes or list(totals)
     rows = df.withColumn("_y", encode_label(F.col(label), classes).cast("double")).filter("_y IS NOT NULL")
-    total = rows.agg(F.sum(weight) if weight else F.count("*")).first()[0]
+    total = math.fsum(totals.get(k, 0.0) for k in classes)
     estimator = LogisticRegression(
         featuresCol=features, labelCol="_y", family="multinomial", maxIter=max_iter, tol=1e-4,
-        regParam=1.0 / (C * float(total)), elasticNetParam=0.0, standardization=False,
+        regParam=1.0 / (C * total), elasticNetParam=0.0, standardization=False,
     )
     if weight:
         estimator = estimator.setWeightCol(weight)
@@ -116,8 +126,10 @@ def train_and_predict(mart: DataFrame, type_embeddings: DataFrame, resolution_em
     """
     by_type, scaler = prepare(mart, type_embeddings, features)
     by_resolution, _ = prepare(mart, resolution_embeddings, features, scaler)
-    train = lambda df: df.filter("split = 'train'")
-    slim = lambda df, label: train(df).select("key", label, "features")
+
+    def slim(df: DataFrame, label: str) -> DataFrame:
+        """What a fit needs, written once: class counts, hashes and weights read narrow columns of it."""
+        return written_once(df.filter("split = 'train'").select("key", label, "features"), f"train-{label}")
 
     if oversampled:
         type_model = fit_lr(oversample(slim(by_type, "issuetype"), "issuetype"), "issuetype", C, max_iter=max_iter)

@@ -109,6 +109,12 @@ def flag_rate(df: DataFrame, by: str, flag: str, name: str, digits: int = 1) ->
     return df.groupBy(by).agg(rate.alias(name)).orderBy(F.desc(name), by)
 
 
+def prefix_rate(df: DataFrame, by: str, text: str, prefix: str, name: str, digits: int = 1) -> DataFrame:
+    """Share of the texts of a group that begin with ``prefix``, as a percentage,
+    highest first.  A NULL text begins with nothing and counts in the total."""
+    return flag_rate(df.select(by, F.startswith(F.col(text), F.lit(prefix)).cast("int").alias("_begins")), by, "_begins", name, digits)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Counts that show whether the feature table is complete, in one pass."""
     return df.agg(

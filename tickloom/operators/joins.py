@@ -1,4 +1,4 @@
-"""Equi-joins.  Spark picks the strategy; lookups are broadcast after a size check."""
+"""Equi-joins.  Spark picks the strategy; lookups are broadcast as tables of known size."""
 
 from __future__ import annotations
 
@@ -7,12 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_ROWS = 100_000
+LOOKUP_ROWS, LOOKUP_BYTES = 100_000, 64 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Broadcast a side that has at most ``max_rows`` rows, else leave the join to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_ROWS, max_bytes: int = LOOKUP_BYTES) -> DataFrame:
+    """Broadcast a narrow side of at most ``max_rows`` rows and ``max_bytes`` bytes,
+    else leave the join to Spark.
+
+    What the check reads becomes the side itself, a literal table: the plan of
+    ``df`` runs once, for the check and the join together.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def keep_known(df: DataFrame, known: DataFrame, key: str = "key") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.session import checkpoint_dir
+
 PREDICTION_SCHEMA = {
     "key": "string", "true_issuetype": "string", "true_resolution": "string",
     "pred_issuetype": "string", "pred_resolution": "string",
@@ -25,6 +27,18 @@ def materialize(df: DataFrame, layer: str, name: str, base: str) -> DataFrame:
     return write_table(df, f"{base}/{layer}/{name}")
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder for checkpoints.
+
+    For a table that several jobs need: each reads only its own columns, and
+    none repeats the plan behind the table, also when executors are lost.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _folder(spark: SparkSession, path: str):
     """The file system of a path, and the path, as Hadoop knows them."""
     jvm = spark._jvm

@@ -326,6 +326,11 @@ register("agg13_flag_rate", lambda m: agg.flag_rate(
     joins.enrich_parent(m.cleaned(), m.raw_parents()), "issuetype", "has_parent", "parent_pct"),
     sql(f"""SELECT issuetype, {half_up('100 * sum(coalesce(has_parent, 0))', 'count(*)', 1)} AS parent_pct
             FROM cleaned LEFT JOIN parents USING (key) GROUP BY 1"""))
+register("agg13_prefix_rate", lambda m: agg.prefix_rate(m.mart_ml().select(
+    "issuetype", text.signal_text(c("text_for_it"), c("summary_clean"), c("has_parent")).alias("text")),
+    "issuetype", "text", "[HAS-PARENT]", "parent_pct"),
+    sql(f"""SELECT issuetype, {half_up("100 * count(*) FILTER (has_parent = 1)", 'count(*)', 1)} AS parent_pct
+            FROM mart_ml GROUP BY 1"""))
 register("agg14_year_range", lambda m: eda.overview(m.analytics(), 1996, 2000), sql(
     """SELECT count(*) AS total, count(*) FILTER (is_resolved = 1) AS resolved,
        CAST(min(year(created_at)) FILTER (year(created_at) BETWEEN 1996 AND 2000) AS INTEGER) AS first_year,
