@@ -142,3 +142,20 @@ def test_no_job_runs_while_a_plan_is_stated(spark, tmp_path):
     sc.setLocalProperty("spark.jobGroup.id", None)
     for df in (plain, *limits):
         assert rows(df, "key") == expected
+
+
+@pytest.mark.parametrize("step", ["lag", "number"])
+def test_hot_rows_take_few_tasks_however_low_the_limit(spark, hot_limit, step):
+    """Ranges stay within the limit, tasks follow the rows, and the rows of a group are shuffled by range once."""
+    df = spark.range(4000).select((F.col("id") % 3).alias("key"), (F.col("id") % 50).alias("at"), "id")
+    ranges = skew.split_by_order(df, ["key"], ["at", "id"])
+    assert ranges.groupBy("key", skew.PART).count().agg(F.max("count")).first()[0] <= hot_limit
+    tasks = F.shiftright(skew.PART, 33)
+    assert ranges.select(tasks).distinct().count() <= 2
+    w = Window.partitionBy("key").orderBy("at", "id")
+    if step == "lag":
+        got, expected = windows.lag_in_order(df, ["key"], ["at", "id"], {"before": "id"}), df.withColumn("before", F.lag("id").over(w))
+    else:
+        got, expected = windows.number_in_order(df, ["key"], ["at", "id"], "n"), df.withColumn("n", F.row_number().over(w).cast("bigint"))
+    assert got.schema.simpleString() == expected.schema.simpleString() and rows(got, "id") == rows(expected, "id")
+    assert " Join" not in got._jdf.queryExecution().optimizedPlan().toString().replace("Join LeftAnti", "")
