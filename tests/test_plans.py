@@ -77,6 +77,13 @@ def test_narrow_scan(models):
     assert "description" not in text.split("ReadSchema")[1].split("\n")[0].replace("resolution_description", "")
 
 
+def test_issues_and_their_copies_come_from_one_pass(spark):
+    from verify import adapter as ad
+
+    text = plan(ad.raw_issues(spark, SF))
+    assert text.count("FileScan") == 5 and "Union" not in text
+
+
 def test_registry():
     import __spark_entry__ as entry
 
