@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -331,3 +332,39 @@ def test_prefix_rate(spark):
     df = spark.createDataFrame([("a", "[P] x"), ("a", "[N] y"), ("a", None), ("b", "[P]"), (None, "x[P]"), ("c", "")], "kind string, t string")
     got = rows(aggregates.prefix_rate(df, "kind", "t", "[P]", "pct"))
     assert got[:2] == [("b", 100.0), ("a", 33.3)] and set(got[2:]) == {(None, 0.0), ("c", 0.0)}
+
+
+def test_best_of_block_equals_double_precision():
+    """Tiles, copies, equal scores, boosts of few and of many values, and NULLs."""
+    rng = np.random.default_rng(6)
+    x = neighbours._unit(rng.normal(size=(900, 12)).astype("float32"))
+    x[100:400] = x[50]  # copies: ties go to the smaller key
+    q = np.vstack([x[40:60], x[700:720]])
+    q_key, x_key = np.r_[40:60, 700:720], np.arange(900)
+    few, many = pd.Series(rng.integers(0, 4, 900)).where(rng.random(900) > 0.1), pd.Series(rng.integers(0, 200, 900)).astype(str)
+    same = [(0.1, *neighbours._codes(few.iloc[q_key], few)), (0.05, *neighbours._codes(many.iloc[q_key], many))]
+    full = q @ x.T
+    for gain, a, b in same:
+        full += gain * (a[:, None] == b[None, :])
+    full = np.round(full, 6)
+    full[q_key[:, None] == x_key[None, :]] = -np.inf
+    top = np.argsort(-full, axis=1, kind="stable")[:, :7]
+    old = neighbours.CHUNK, neighbours.TILE, neighbours.PAIRS
+    try:
+        for neighbours.CHUNK, neighbours.TILE, neighbours.PAIRS in (old, (7, 300, 11), (64, 64, 1000)):
+            asked, found, score = neighbours._best(q, x, same, q_key, x_key, 7)
+            assert (asked == np.repeat(np.arange(40), 7)).all()
+            assert (found.reshape(40, 7) == top).all() and np.allclose(score.reshape(40, 7), np.take_along_axis(full, top, 1))
+    finally:
+        neighbours.CHUNK, neighbours.TILE, neighbours.PAIRS = old
+
+
+def test_exact_search_sends_queries_by_task_and_has_no_limit_of_its_own(spark):
+    rng = np.random.default_rng(8)
+    data = [(i, [float(v) for v in rng.normal(size=6)], 0) for i in range(400)]
+    df = spark.createDataFrame(data, "key long, embedding array<double>, label int")
+    assert neighbours.EXACT_QUERIES is None
+    cells = neighbours.build_cells(df, "key", "embedding", pivots=40, block=16)
+    asked, sent, _ = neighbours.sides(df, df, cells, 5, "key", "embedding", "label", {}, None, 16)
+    # Far fewer than a row for each query and cell.
+    assert asked.count() <= 400 * 4 and sent.count() <= 400 * 4
