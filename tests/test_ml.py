@@ -368,3 +368,15 @@ def test_exact_search_sends_queries_by_task_and_has_no_limit_of_its_own(spark):
     asked, sent, _ = neighbours.sides(df, df, cells, 5, "key", "embedding", "label", {}, None, 16)
     # Far fewer than a row for each query and cell.
     assert asked.count() <= 400 * 4 and sent.count() <= 400 * 4
+
+
+def test_products_send_a_row_per_task_class_and_feature(spark):
+    from verify.ml_queries import _products
+
+    rng = np.random.default_rng(5)
+    miss, x = rng.normal(size=(500, 3)), rng.normal(size=(500, 4))
+    df = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(miss, x)], "miss array<double>, x array<double>").repartition(3)
+    sent = _products(df)
+    assert sent.count() <= 3 * 3 * 4
+    total = {(r[0], r[1]): r[2] for r in sent.groupBy("class", "feature").agg(F.sum("product")).collect()}
+    assert all(total[i, j] == pytest.approx((miss.T @ x)[i, j]) for i in range(3) for j in range(4))
