@@ -370,6 +370,20 @@ def test_exact_search_sends_queries_by_task_and_has_no_limit_of_its_own(spark):
     assert asked.count() <= 400 * 4 and sent.count() <= 400 * 4
 
 
+def test_training_takes_sparse_vectors_as_it_takes_arrays(spark):
+    """The same predictions; a ticket without an embedding keeps its row; vectors stay sparse."""
+    words = ["crash error memory", "improve speed cache", "docs typo page"]
+    data = [(f"k{i}", "train" if i < 60 else "validation", ["Bug", "Improvement", "Other"][i % 3], ["Fixed", "Invalid"][i % 2], i % 5, words[i % 3] + f" w{i % 7}")
+            for i in range(90)]
+    mart = spark.createDataFrame(data, "key string, split string, issuetype string, resolution string, n_comments int, text string")
+    arrays, vectors = (embed.embed_tfidf(mart.filter("key <> 'k89'"), "text", as_vector=v) for v in (False, True))
+    ready, _ = train.prepare(mart, vectors, ["n_comments"])
+    assert all(len(r.features.indices) < 10 and r.features.size == 1025 for r in ready.select("features").collect())
+    found = [{r["key"]: (r["pred_issuetype"], r["pred_resolution"]) for r in
+              train.train_and_predict(mart, v, v, ["n_comments"], max_iter=20).collect()} for v in (arrays, vectors)]
+    assert found[0] == found[1] and len(found[1]) == 30
+
+
 def test_products_send_a_row_per_task_class_and_feature(spark):
     from verify.ml_queries import _products
 
