@@ -84,6 +84,23 @@ def test_issues_and_their_copies_come_from_one_pass(spark):
     assert text.count("FileScan") == 5 and "Union" not in text
 
 
+def longest_method(df):
+    """Bytes of the longest method among the generated code of a plan."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+
+
+def test_code_that_parses_times_is_short_enough_to_be_compiled(models, spark):
+    # The JVM leaves methods above 8,000 bytes to its interpreter.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the code is made with the plan
+    try:
+        for df in (models.stg_issues(), models.cleaned().filter("split <> 'excluded'"), models.stg_comments(),
+                   models.mart_ml().select("issuetype", "text_for_it", "summary_clean", "has_parent")):
+            assert 0 < longest_method(df) <= 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_registry():
     import __spark_entry__ as entry
 
