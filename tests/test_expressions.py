@@ -158,3 +158,16 @@ def test_labels(spark):
 def test_duration_label(spark):
     assert one(spark, [("Open", 2.25), (None, 1.0), ("x", None)], "s string, d double",
                text.duration_label(c("s"), c("d"))) == [("Open (moy. 2.3j)",), (None,), (None,)]
+
+
+def test_texts_that_no_cleaning_step_touches_are_searched_once(spark):
+    texts = [None, "", " plain ", "a b", "a  b", "a\n\tb", "x < y", "<b>x</b>", "{CODE}y{code}", "{code:java}" + "z" * 300 + "{code}tail", "{noformat}n{noformat}", "[~me] x",
+             "see https://e.org/x y", "http:/x", "HTTP://x", "{", "[", "~", "a\r\nb", "é  ü", "<>{code}<b>{code}"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    every = F.coalesce("t", F.lit(""))
+    for pattern, replacement in fv.CLEANING_STEPS:
+        every = F.regexp_replace(every, pattern, replacement)
+    both = df.select(text.clean_text(F.col("t")).alias("a"), F.trim(every).alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    guarded = df.select(text.clean_text(F.col("t")).alias("a"))._jdf.queryExecution().executedPlan().toString()
+    assert guarded.count("RLIKE") == 1 and guarded.count("regexp_replace") == 6
