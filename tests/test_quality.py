@@ -1,5 +1,6 @@
 from tests.conftest import rows
 from tickloom.operators import quality
+from tickloom.operators.joins import keep_known
 from tickloom.operators.quality import Test
 from tickloom.plans.data_tests import data_tests
 
@@ -67,3 +68,25 @@ def test_the_suite_reads_every_table_once(spark, tmp_path):
     assert plan.count("FileScan") == 3 and "Join" not in plan and plan.count("Exchange") == 2
     empty = quality.run_suite({n: df.limit(0) for n, df in written.items()}, tests)
     assert {r["status"] for r in empty.collect()} == {"PASS"}
+
+
+def test_values_that_pass_are_not_shuffled(spark):
+    """Of listed columns only NULLs and values outside every list are counted, of unique ones and keys all."""
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 0), (2, "a", 7), (None, "odd", None), (3, None, 1)], "id int, label string, flag int")
+    tests = [
+        Test("t", "id", "unique"), Test("t", "label", "accepted_values", ("a", "b")), Test("t", "label", "accepted_values", ("a",), severity="warn"),
+        Test("t", "flag", "accepted_values", (0, 1)), Test("t", "label", "not_null")]
+    place = {("t", "id"): (0, 0), ("t", "label"): (1, 0), ("t", "flag"): (2, 0)}
+    got = quality.tested_values({"t": df}, tests, place).groupBy("domain", "value").count()
+    assert set(rows(got)) == {(0, "1", 2), (0, "2", 1), (0, "3", 1), (0, None, 1), (1, "b", 1), (1, "odd", 1), (1, None, 1), (2, "7", 1), (2, None, 1)}
+    assert rows(quality.run_suite({"t": df}, tests).select("failures")) == [(1,), (1,), (2,), (1,), (1,)]
+
+
+def test_not_null_tests_of_a_view_reach_its_files(spark, tmp_path):
+    """A view that is tested for NULLs only is not joined row by row to find them."""
+    links = spark.createDataFrame([("a", "x"), ("a", None), ("b", None), (None, None)], "key string, kind string")
+    links.write.parquet(str(tmp_path / "links"))
+    view = keep_known(spark.read.parquet(str(tmp_path / "links")), spark.createDataFrame([("a",)], "key string"))
+    suite = quality.run_suite({"v": view}, [Test("v", "key", "not_null"), Test("v", "kind", "not_null")])
+    assert rows(suite.select("failures")) == [(0,), (1,)]
+    assert "IsNull(kind)" in suite._jdf.queryExecution().executedPlan().toString()
