@@ -118,3 +118,22 @@ def test_long_chains_become_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (201, 200)], "a long, b long")
     got = {r["id"]: r["component"] for r in minhash.components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 200: 200, 201: 200}
+
+
+def test_no_side_of_a_join_goes_through_the_driver(spark, docs, monkeypatch):
+    """However small a table seems: compressed files and explodes hide its size."""
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", 5)
+    plans = []
+    write = minhash.written
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(minhash, "written", seen)
+    texts = list(enumerate(corpus(3)))
+    found = minhash.grouped(docs(texts))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) > 8
+    assert not [p for p in plans if "Broadcast" in p]
+    assert {i: r["component_id"] for i, r in by_id(found).items()} == {i: c for i, (_, c) in brute(texts).items()}

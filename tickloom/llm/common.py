@@ -36,6 +36,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """df as a side of a join that tasks read by key, whatever its size seems to be.
+
+    Spark takes a table for as large as its compressed files, and an explode for
+    no larger than what it reads: a side that it would broadcast on these grounds
+    can be many times as large in the driver's memory.
+    """
+    return df.hint("merge")
+
+
 def free_name(names: Sequence[str], wish: str) -> str:
     """wish, or wish with underscores when a column has that name already."""
     taken = {n.lower() for n in names}

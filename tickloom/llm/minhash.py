@@ -18,7 +18,8 @@ full sets.  A group is cut into blocks of bounded size; each block is compared
 whole, and with a few pivots that all blocks of the group have in common.  A
 group of one block is then done.  In a larger one the documents that are not yet
 linked with its largest class are compared with all its blocks.  Tasks return
-the links of a forest, never all pairs.
+the links of a forest, never all pairs.  All joins meet in tasks: every side
+grows with the documents, so none is sent through the driver.
 
 Defined results: NULL and empty texts have no set and are linked with nothing;
 so is a NULL doc_id, whose component is NULL; rows with the same doc_id are one
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
-from tickloom.llm.common import free_name, per_text, prepare, written
+from tickloom.llm.common import by_shuffle, free_name, per_text, prepare, written
 
 SHINGLE = 5
 COORDINATES = 128
@@ -206,18 +207,18 @@ def components(edges: DataFrame) -> DataFrame:
         tree = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("top")))
         while True:
             higher = tree.select(F.col("id").alias("top"), F.col("top").alias("new"))
-            tree = written(tree.join(higher, "top").select("id", F.col("new").alias("top"), (F.col("new") != F.col("top")).alias("moved")))
+            tree = written(tree.join(by_shuffle(higher), "top").select("id", F.col("new").alias("top"), (F.col("new") != F.col("top")).alias("moved")))
             still = tree.where("moved").isEmpty()
             tree = tree.drop("moved")
             if still:
                 break
         up = tree.select(F.col("id").alias("component"), "top")
-        labels = written(tree.withColumnRenamed("top", "component") if first else labels.join(up, "component", "left").select(
+        labels = written(tree.withColumnRenamed("top", "component") if first else labels.join(by_shuffle(up), "component", "left").select(
             "id", F.coalesce("top", "component").alias("component")))
         first = False
         edges = written(ends(
-            edges.join(tree.select(F.col("id").alias("a"), F.col("top").alias("x")), "a")
-            .join(tree.select(F.col("id").alias("b"), F.col("top").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))))
+            edges.join(by_shuffle(tree.select(F.col("id").alias("a"), F.col("top").alias("x"))), "a")
+            .join(by_shuffle(tree.select(F.col("id").alias("b"), F.col("top").alias("y"))), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))))
     return labels
 
 
@@ -225,7 +226,7 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     """id and component of the classes (id, bands) whose buckets touch others."""
     rows = classes.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = rows.groupBy("band", "key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return components(rows.join(buckets, ["band", "key"]).select(F.col("first").alias("a"), F.col("id").alias("b")))
+    return components(rows.join(by_shuffle(buckets), ["band", "key"]).select(F.col("first").alias("a"), F.col("id").alias("b")))
 
 
 def confirmed_links(docs: DataFrame, classes: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -233,27 +234,29 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, repeated: DataFrame) ->
     and the table of classes (id, n, bands).  Ids in repeated (id) have several rows:
     each of their different texts counts once, and has a block of its own choice."""
     groups = candidate_groups(classes)
-    sized = groups.join(classes.select("id", "n"), "id")
+    sized = groups.join(by_shuffle(classes.select("id", "n")), "id")
     blocks = sized.groupBy("component").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    placed = written(sized.groupBy("id", "component").agg(F.max("n").alias("n")).join(blocks, "component"))
+    # An id has one component; grouped by it alone, no task gets a whole group.
+    each = sized.groupBy("id").agg(F.min("component").alias("component"), F.max("n").alias("n"))
+    placed = written(each.join(by_shuffle(blocks), "component"))
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
     part = F.lit(0).cast("long").alias("part")
     if repeated.isEmpty():
-        texts = written(texts.join(placed.select("id"), "id").select("id", part, "text"))
+        texts = written(texts.join(by_shuffle(placed.select("id")), "id").select("id", part, "text"))
         members = placed.withColumn("part", part)
     else:
-        again = placed.select("id").join(repeated.withColumn("again", F.lit(True)), "id", "left")
-        read = written(texts.join(again, "id"))
+        again = placed.select("id").join(by_shuffle(repeated.withColumn("again", F.lit(True))), "id", "left")
+        read = written(texts.join(by_shuffle(again), "id"))
         once = read.where("again").select("id", "text").distinct().select("id", F.xxhash64("text").alias("part"), "text")
         texts = written(read.where("again IS NULL").select("id", part, "text").unionByName(once))
-        members = placed.join(texts.select("id", "part"), "id")
+        members = placed.join(by_shuffle(texts.select("id", "part")), "id")
     members = written(members.withColumn("block", F.pmod(F.xxhash64("id", "part"), F.col("blocks")).cast("int")))
     # Each document is in its block; the pivots of a group are in all its blocks.
     pivot = F.pmod(F.xxhash64("id", "part", F.lit(1)), F.col("blocks") * BLOCK_DOCS) < PIVOTS
     own = F.when((F.col("blocks") > 1) & pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     inside = members.select("id", "part", "component", F.explode(own).alias("block"))
-    edges = written(inside.join(texts, ["id", "part"]).groupBy("component", "block").applyInArrow(_edges(False), EDGES))
+    edges = written(inside.join(by_shuffle(texts), ["id", "part"]).groupBy("component", "block").applyInArrow(_edges(False), EDGES))
     large = members.where("blocks > 1")
     if large.isEmpty():
         return edges
@@ -262,8 +265,8 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, repeated: DataFrame) ->
 
 def _across_blocks(members: DataFrame, texts: DataFrame, edges: DataFrame) -> DataFrame:
     """Links of large groups between the largest class that is known so far and the rest, and within the rest."""
-    known = components(edges.join(members.select(F.col("id").alias("a")), "a", "left_semi"))
-    state = members.join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    known = components(edges.join(by_shuffle(members.select(F.col("id").alias("a"))), "a", "left_semi"))
+    state = members.join(by_shuffle(known.withColumnRenamed("component", "label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
     sizes = state.groupBy("component", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
     largest = sizes.groupBy("component").agg(
         F.max(F.struct("size", "label", "shingles")).alias("most"), F.sum("size").alias("all"), F.sum("shingles").alias("all_shingles"))
@@ -271,7 +274,7 @@ def _across_blocks(members: DataFrame, texts: DataFrame, edges: DataFrame) -> Da
     minors = largest.where(stray > 0).select(
         "component", F.col("most")["label"].alias("major"),
         F.greatest(F.ceil(stray / BLOCK_DOCS), F.ceil(stray_shingles / BLOCK_SHINGLES)).cast("int").alias("minor_blocks"))
-    state = written(state.join(minors, "component").withColumn("minor", F.col("label") != F.col("major")))
+    state = written(state.join(by_shuffle(minors), "component").withColumn("minor", F.col("label") != F.col("major")))
     # A minor document, in one of minor_blocks rows, meets every block; each block is there once a row.
     row = F.pmod(F.xxhash64("id", "part", F.lit(2)), F.col("minor_blocks")).cast("int")
     names = ["id", "part", "component", "minor", "row", "block"]
@@ -280,7 +283,7 @@ def _across_blocks(members: DataFrame, texts: DataFrame, edges: DataFrame) -> Da
     # A minor document that lies in this block and this row has been put there already.
     met = met.where(~(F.col("minor") & (F.col("own") == F.col("row"))))
     grid = put.select(*names).unionByName(met.select(*names))
-    return grid.join(texts, ["id", "part"]).groupBy("component", "row", "block").applyInArrow(_edges(True), EDGES)
+    return grid.join(by_shuffle(texts), ["id", "part"]).groupBy("component", "row", "block").applyInArrow(_edges(True), EDGES)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -298,14 +301,14 @@ def grouped(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows")).where("rows > 1").select("id"))
     links = confirmed_links(narrow, classes, again)
     # Rows with one doc_id in different classes tie those classes together.
-    ties = full.join(repeated, "digest").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    ties = full.join(by_shuffle(repeated), "digest").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     same = full.groupBy("doc_id").agg(F.count_distinct("digest").alias("sets")).where("sets > 1").select("doc_id")
-    ties = ties.join(same, F.col("b") == F.col("doc_id"), "left_semi")
+    ties = ties.join(by_shuffle(same), F.col("b") == F.col("doc_id"), "left_semi")
     found = components(links.unionByName(ties))
-    own = rows.join(repeated, "digest", "left").withColumn(
+    own = rows.join(by_shuffle(repeated), "digest", "left").withColumn(
         "first", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))).drop("id")
     component = F.coalesce("component", "first")
-    return own.join(found.withColumnRenamed("id", "first"), "first", "left").select(
+    return own.join(by_shuffle(found.withColumnRenamed("id", "first")), "first", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
