@@ -137,3 +137,13 @@ def test_no_side_of_a_join_goes_through_the_driver(spark, docs, monkeypatch):
     assert sum("SortMergeJoin" in p for p in plans) > 8
     assert not [p for p in plans if "Broadcast" in p]
     assert {i: r["component_id"] for i, r in by_id(found).items()} == {i: c for i, (_, c) in brute(texts).items()}
+
+
+def test_what_the_pipeline_drops_does_not_go_through_the_driver(spark, docs):
+    texts = list(enumerate(corpus(4)))
+    kept = minhash.deduplicate(docs(texts))
+    rows = by_id(kept)
+    # After the run: adaptive execution chooses by the sizes it has met.
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(rows) == sorted(i for i, (_, c) in brute(texts).items() if c == i)

@@ -318,4 +318,4 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Of rows with one doc_id all stay or go together."""
     gone = grouped(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone"))
     name = free_name(docs.columns, "gone")
-    return docs.join(gone.distinct().withColumnRenamed("gone", name), F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    return docs.join(by_shuffle(gone.distinct().withColumnRenamed("gone", name)), F.col("doc_id").cast("long") == F.col(name), "left_anti")
